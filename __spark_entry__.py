@@ -35,8 +35,8 @@ from gridmetrics.operators import (
     to_long,
 )
 from gridmetrics.plans.questions import HOURLY_KEYS, YEARLY_KEYS
-from gridmetrics.schema import COUNTRY, EVENT_TIME, HOUR, MONTH, YEAR
-from gridmetrics.sinks import to_key_json, write_csv, write_outputs
+from gridmetrics.schema import COUNTRY, CSV_HEADER, EVENT_TIME, HOUR, MONTH, YEAR
+from gridmetrics.sinks import materialised, to_key_json, write_csv, write_outputs
 from gridmetrics.sources import (
     country_folder,
     read_energy,
@@ -77,9 +77,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _shipment_files(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
-    """The stand-in energy table, written as text times the way the real input comes."""
-    return write_both_formats(to_energy_table(_shipments(spark, sf_dir)), new_folder(spark, name))
+def _shipment_files(spark: SparkSession, sf_dir: str, fmt: str, by_country: bool = False) -> str:
+    """The stand-in energy table, written with text times as the real input comes."""
+    path = new_folder(spark, f"shipments-{fmt}")
+    write_energy(to_energy_table(_shipments(spark, sf_dir)), path, fmt, by_country)
+    return path
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -164,9 +166,8 @@ def board_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rankings_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four rankings, written to a folder each and read back."""
-    paths = write_outputs(
-        rankings(monthly_means_sql(spark, sf_dir)), new_folder(spark, "rankings")
-    )
+    with materialised(monthly_means_sql(spark, sf_dir)) as (monthly, _):
+        paths = write_outputs(rankings(monthly), new_folder(spark, "rankings"))
     schema = (
         f"{YEAR} int, {MONTH} int, avg_carbon_intensity double, avg_cfe_percentage double"
     )
@@ -255,27 +256,40 @@ def canonical_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw lines of CSV files, split and cast by column expressions, then grouped."""
-    files = _shipment_files(spark, sf_dir, "lines")
-    lines = parse_lines(read_lines(spark, files["csv"]))
-    keys = [COUNTRY, YEAR, MONTH, HOUR]
-    return _rounded(finish_fold(fold(with_parts(lines, "year", "month", "hour"), keys), keys))
+    """Raw lines of CSV files, split and cast by column expressions, then folded."""
+    lines = read_lines(spark, _shipment_files(spark, sf_dir, "csv"), header=CSV_HEADER)
+    rows = with_parts(parse_lines(lines), "year", "month", "hour")
+    return _rounded(fold(rows, [COUNTRY, YEAR, MONTH, HOUR]))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _shipment_files(spark, sf_dir, "csv")
-    return _rounded(plans.yearly_stats(read_energy(spark, files["csv"], "csv")))
+    return _rounded(plans.yearly_stats(read_energy(spark, files, "csv")))
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _shipment_files(spark, sf_dir, "parquet")
-    return _rounded(plans.yearly_stats(read_energy(spark, files["parquet"], "parquet")))
+    return _rounded(plans.yearly_stats(read_energy(spark, files, "parquet")))
+
+
+def both_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The input written in both formats; rows and latest time of each copy."""
+    raw = to_energy_table(_shipments(spark, sf_dir))
+    paths = write_both_formats(raw, new_folder(spark, "both"))
+    copies = [
+        with_event_time(read_energy(spark, path, fmt)).select(F.lit(fmt).alias("format"), "*")
+        for fmt, path in paths.items()
+    ]
+    return (
+        union_sources(*copies)
+        .groupBy("format", COUNTRY)
+        .agg(F.count("*").alias("hours"), F.max(EVENT_TIME).alias("last_time"))
+    )
 
 
 def country_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder per country; each is read by its path, then all are put together."""
-    path = new_folder(spark, "countries")
-    write_energy(to_energy_table(_shipments(spark, sf_dir)), path, "csv", by_country=True)
+    path = _shipment_files(spark, sf_dir, "csv", by_country=True)
     countries = [read_energy(spark, country_folder(path, flag), "csv") for flag in FLAGS]
     return _rounded(plans.yearly_stats(union_sources(*countries)))
 
@@ -350,6 +364,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_lines": parse_text_lines,
         "csv_roundtrip": csv_roundtrip,
         "parquet_roundtrip": parquet_roundtrip,
+        "both_formats": both_formats,
         "country_file_scan": country_file_scan,
         "result_file": result_file,
         "key_json": key_json,
@@ -512,10 +527,12 @@ GROUP BY 1
 SELECT l_returnflag AS Country, CAST(year(l_shipdate) AS INTEGER) AS record_year,
        CAST(month(l_shipdate) AS INTEGER) AS record_month,
        CAST(hour(l_shipdate) AS INTEGER) AS record_hour,
-       round(avg(l_extendedprice), 6) AS avg_carbon_intensity,
+       round(sum(l_extendedprice), 6) AS sum_carbon_intensity,
+       count(l_extendedprice) AS count_carbon_intensity,
        round(min(l_extendedprice), 6) AS min_carbon_intensity,
        round(max(l_extendedprice), 6) AS max_carbon_intensity,
-       round(avg(l_discount), 6) AS avg_cfe_percentage,
+       round(sum(l_discount), 6) AS sum_cfe_percentage,
+       count(l_discount) AS count_cfe_percentage,
        round(min(l_discount), 6) AS min_cfe_percentage,
        round(max(l_discount), 6) AS max_cfe_percentage
 FROM lineitem
@@ -523,6 +540,11 @@ GROUP BY 1, 2, 3, 4
 """,
         "csv_roundtrip": _YEARLY,
         "parquet_roundtrip": _YEARLY,
+        "both_formats": """
+SELECT format, l_returnflag AS Country, count(*) AS hours, max(l_shipdate) AS last_time
+FROM lineitem CROSS JOIN (VALUES ('parquet'), ('csv')) AS formats(format)
+GROUP BY format, l_returnflag
+""",
         "country_file_scan": _YEARLY,
         "result_file": f"SELECT * RENAME (Country AS country, record_year AS year) FROM ({_YEARLY})",
         "key_json": f"""

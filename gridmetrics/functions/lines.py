@@ -2,29 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmetrics.functions.timeparts import event_time
 from gridmetrics.schema import COUNTRY, EVENT_TIME, METRICS
 
 
-def _wall_clock(text: Column) -> Column:
-    numbers = F.split(F.translate(text, "-:", "  "), " ")
-    parts = [F.get(numbers, F.lit(i)).try_cast("int") for i in range(6)]
-    return F.when(F.size(numbers) == 6, F.try_make_timestamp_ntz(*parts))
-
-
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Split comma-separated lines into country, event time and metrics.
 
     A missing or unreadable field is NULL, as with the CSV reader; a bad line never fails the job.
+    The split is a column of its own: written into each expression it would be done once per
+    field and line.
     """
-    fields = F.split(F.col(column), ",")
-    return lines.select(
-        F.get(fields, F.lit(0)).alias(COUNTRY),
-        _wall_clock(F.get(fields, F.lit(1))).alias(EVENT_TIME),
+    split = lines.select(F.split(F.col(column), ",").alias("fields"))
+    field = [F.get("fields", F.lit(i)) for i in range(2 + len(METRICS))]
+    return split.select(
+        field[0].alias(COUNTRY),
+        event_time(field[1]).alias(EVENT_TIME),
         *(
-            F.get(fields, F.lit(i)).try_cast("double").alias(metric.column)
-            for i, metric in enumerate(METRICS, start=2)
+            text.try_cast("double").alias(metric.column)
+            for text, metric in zip(field[2:], METRICS, strict=True)
         ),
     )

@@ -19,6 +19,7 @@ ENERGY_SCHEMA = StructType(
         StructField("CFEpercent", DoubleType()),
     ]
 )
+CSV_HEADER = ",".join(ENERGY_SCHEMA.names)
 
 
 @dataclass(frozen=True)

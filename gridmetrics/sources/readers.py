@@ -48,27 +48,30 @@ def read_energy(
 def read_lines(
     spark: SparkSession,
     path: str | Sequence[str],
-    header: bool = True,
+    header: bool | str = True,
     recursive: bool = True,
 ) -> DataFrame:
-    """Text lines as one ``value`` column, without the first line of each file if ``header``.
+    """Text lines as one ``value`` column, without header lines.
 
-    Lines have no order across a cluster, so a header cannot be dropped by counting them. The CSV
-    reader knows which split starts a file; with a separator and a quote that text does not
-    contain it hands over whole lines.
+    ``header=True`` drops the first line of every file, whatever it says. Lines have no order
+    across a cluster, so it cannot be found by counting; the CSV reader knows which split starts a
+    file, and with a separator and a quote that text does not contain it hands over whole lines.
+    Where the header text is known, passing it is faster: the plain text reader runs and lines
+    equal to it are dropped.
     """
+    reader = spark.read.option("recursiveFileLookup", _flag(recursive))
     paths = _paths(path)
-    if not header:
-        return spark.read.option("recursiveFileLookup", _flag(recursive)).text(paths)
-    return (
-        spark.read.schema("value string")
-        .option("header", "true")
-        .option("sep", "\u0001")
-        .option("quote", "")
-        .option("escape", "")
-        .option("recursiveFileLookup", _flag(recursive))
-        .csv(paths)
-    )
+    if header is True:
+        return (
+            reader.schema("value string")
+            .option("header", "true")
+            .option("sep", "\u0001")
+            .option("quote", "")
+            .option("escape", "")
+            .csv(paths)
+        )
+    lines = reader.text(paths)
+    return lines if header is False else lines.filter(lines.value != header)
 
 
 def country_folder(path: str, country: str) -> str:
