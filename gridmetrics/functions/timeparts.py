@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 
 from gridmetrics.schema import EVENT_TIME, HOUR, MONTH, TIME_FORMAT, YEAR
 
-_TIME_PATTERN = r"\A\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
+_TIME_PATTERN = r"\A-?\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 _PARTS = {"year": (YEAR, F.year), "month": (MONTH, F.month), "hour": (HOUR, F.hour)}
 
 
