@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmetrics import plans
+from gridmetrics import jobs, plans
 from gridmetrics.functions import (
     canonical_country,
     of_country,
@@ -37,6 +37,7 @@ from gridmetrics.operators import (
 from gridmetrics.plans.questions import HOURLY_KEYS, YEARLY_KEYS
 from gridmetrics.schema import COUNTRY, CSV_HEADER, EVENT_TIME, HOUR, MONTH, YEAR
 from gridmetrics.sinks import materialised, to_key_json, write_csv, write_outputs
+from gridmetrics.sinks.writers import TIME_OUTPUT
 from gridmetrics.sources import (
     country_folder,
     read_energy,
@@ -304,6 +305,36 @@ def result_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.csv(path, f"country string, year int, {schema}", header=True)
 
 
+def _event_files(spark: SparkSession, sf_dir: str) -> str:
+    path = new_folder(spark, "events-parquet")
+    write_energy(to_energy_table(_events(spark, sf_dir)), path, "parquet")
+    return path
+
+
+def yearly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From CSV lines to the result file, read back."""
+    source = _shipment_files(spark, sf_dir, "csv")
+    paths = jobs.run(spark, 8, source, new_folder(spark, "yearly-job"))
+    columns = yearly_stats(spark, sf_dir).schema
+    return _rounded(spark.read.csv(paths["stats"], columns, header=True))
+
+
+def monthly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From CSV files of many countries to the time series of one, read back."""
+    source = _shipment_files(spark, sf_dir, "csv")
+    paths = jobs.run(spark, 12, source, new_folder(spark, "monthly-job"), country="A")
+    columns = _monthly(spark, sf_dir).schema
+    reader = spark.read.schema(columns).option("timestampNTZFormat", TIME_OUTPUT)
+    return _rounded(reader.csv(paths["timeseries"], header=True))
+
+
+def hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From Parquet files to both result files of the hourly question; the summary, read back."""
+    paths = jobs.run(spark, 4, _event_files(spark, sf_dir), new_folder(spark, "hourly-job"))
+    columns = plans.hourly_summary(_profile(spark, sf_dir)).schema
+    return _rounded(spark.read.csv(paths["summary"], columns, header=True))
+
+
 def key_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_key_json(yearly_stats(spark, sf_dir), YEARLY_KEYS, prefix="yearly")
 
@@ -367,6 +398,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "both_formats": both_formats,
         "country_file_scan": country_file_scan,
         "result_file": result_file,
+        "yearly_job": yearly_job,
+        "monthly_job": monthly_job,
+        "hourly_job": hourly_job,
         "key_json": key_json,
         "run_means": run_time_means,
         "run_comparison": run_time_comparison,
@@ -547,6 +581,9 @@ GROUP BY format, l_returnflag
 """,
         "country_file_scan": _YEARLY,
         "result_file": f"SELECT * RENAME (Country AS country, record_year AS year) FROM ({_YEARLY})",
+        "yearly_job": _YEARLY,
+        "monthly_job": _MONTHLY_TIMED,
+        "hourly_job": _SUMMARY_EXACT,
         "key_json": f"""
 SELECT 'yearly:' || Country || ':' || record_year AS key,
        CAST(to_json({{'avg_carbon_intensity': avg_carbon_intensity,

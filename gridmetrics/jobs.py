@@ -105,16 +105,16 @@ def run(
     workers: int = 1,
     run_log: str | None = None,
     single_file: bool = True,
+    country: str = RANKED_COUNTRY,
 ) -> dict[str, str]:
     """Run one variant, write its results and log its time; returns the result paths.
 
     The clock covers reading and computing, not writing. Results of a question share its grouped
-    table, which is computed once.
+    table, which is computed once. ``country`` is the one the monthly question is about.
     """
     variant = VARIANTS[number]
-    country = RANKED_COUNTRY if variant.question == "monthly" else None
     started = time.perf_counter()
-    energy = load(spark, source, variant, country)
+    energy = load(spark, source, variant, country if variant.question == "monthly" else None)
     with materialised(grouped(spark, energy, variant)) as (table, _):
         outputs = results(spark, table, variant)
         for df in outputs.values():
@@ -135,6 +135,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--target", required=True, help="folder for the results")
     parser.add_argument("--workers", type=int, default=1, help="noted in the run log")
     parser.add_argument("--run-log", help="folder of the run time table")
+    parser.add_argument("--country", default=RANKED_COUNTRY, help="of the monthly question")
     parser.add_argument("--many-files", action="store_true", help="write results from many tasks")
     options = parser.parse_args(arguments)
     spark = energy_session(f"gridmetrics {VARIANTS[options.variant].name}")
@@ -146,4 +147,5 @@ def main(arguments: Sequence[str] | None = None) -> None:
         options.workers,
         options.run_log,
         not options.many_files,
+        options.country,
     )

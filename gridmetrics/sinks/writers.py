@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 
 SINGLE_FILE_ROWS = 1_000_000
 # The times are UTC wall clock, so result files mark them with Z.
-_TIME_OUTPUT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+TIME_OUTPUT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
 @contextmanager
@@ -34,7 +34,7 @@ def _save(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")
         .option("header", "true")
-        .option("timestampNTZFormat", _TIME_OUTPUT)
+        .option("timestampNTZFormat", TIME_OUTPUT)
         .csv(path)
     )
 

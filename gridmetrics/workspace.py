@@ -20,9 +20,19 @@ def _local_folder() -> str:
     return folder
 
 
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system drop the folder when the application ends."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """An unused path for one intermediate table, in the folder that every executor can reach.
 
+    It is an ordinary written table, so it outlives lost executors; it goes with the application.
     The cluster names that folder in ``spark.checkpoint.dir``. Only a local session, where driver
     and executors are one machine, may do without it.
     """
@@ -31,4 +41,6 @@ def new_folder(spark: SparkSession, name: str) -> str:
         if not spark.conf.get("spark.master").startswith("local"):
             raise ValueError(f"set {SHARED_FOLDER} to a folder that all executors share")
         base = _local_folder()
-    return f"{base.rstrip('/')}/gridmetrics/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/gridmetrics/{name}-{uuid.uuid4().hex}"
+    _remove_at_exit(spark, path)
+    return path

@@ -284,6 +284,7 @@ def test_new_folders_lie_in_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     first, second = new_folder(spark, "x"), new_folder(spark, "x")
     assert first != second
+    assert os.path.isdir(first.removeprefix("file:"))
     if base:
         assert first.startswith(base)
 
