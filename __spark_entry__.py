@@ -273,6 +273,13 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(plans.yearly_stats(read_energy(spark, files, "parquet")))
 
 
+def typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy whose times are parsed once, at ingest."""
+    path = new_folder(spark, "shipments-typed")
+    write_energy(to_energy_table(_shipments(spark, sf_dir)), path, by_country=True, typed=True)
+    return _rounded(plans.yearly_stats(read_energy(spark, path, typed=True)))
+
+
 def both_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The input written in both formats; rows and latest time of each copy."""
     raw = to_energy_table(_shipments(spark, sf_dir))
@@ -395,6 +402,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_lines": parse_text_lines,
         "csv_roundtrip": csv_roundtrip,
         "parquet_roundtrip": parquet_roundtrip,
+        "typed_roundtrip": typed_roundtrip,
         "both_formats": both_formats,
         "country_file_scan": country_file_scan,
         "result_file": result_file,
@@ -477,8 +485,8 @@ _SUMMARY_EXACT = _SUMMARY.format(quantile="quantile_cont", long=_LONG)
 _SUMMARY_ELEMENT = _SUMMARY.format(quantile="quantile_disc", long=_LONG)
 
 _RUNS = """
-SELECT CAST(user_id % 17 + 1 AS INTEGER) AS query, CAST(user_id % 4 + 1 AS INTEGER) AS workers_number,
-       value AS t
+SELECT CAST(user_id % 17 + 1 AS INTEGER) AS query,
+       CAST(user_id % 4 + 1 AS INTEGER) AS workers_number, value AS t
 FROM events
 """
 
@@ -527,7 +535,9 @@ def oracle_sql() -> dict[str, str]:
         "five_number_exact_sql": _SUMMARY_EXACT,
         "five_number_sorted_list": _SUMMARY_EXACT,
         "five_number_approx": _SUMMARY_ELEMENT,
-        "wide_to_long": f"SELECT Country, record_hour, data, round(value, 6) AS value FROM ({_LONG})",
+        "wide_to_long": f"""
+SELECT Country, record_hour, data, round(value, 6) AS value FROM ({_LONG})
+""",
         "parse_event_time": """
 WITH texts AS (
   SELECT event_type,
@@ -574,13 +584,16 @@ GROUP BY 1, 2, 3, 4
 """,
         "csv_roundtrip": _YEARLY,
         "parquet_roundtrip": _YEARLY,
+        "typed_roundtrip": _YEARLY,
         "both_formats": """
 SELECT format, l_returnflag AS Country, count(*) AS hours, max(l_shipdate) AS last_time
 FROM lineitem CROSS JOIN (VALUES ('parquet'), ('csv')) AS formats(format)
 GROUP BY format, l_returnflag
 """,
         "country_file_scan": _YEARLY,
-        "result_file": f"SELECT * RENAME (Country AS country, record_year AS year) FROM ({_YEARLY})",
+        "result_file": f"""
+SELECT * RENAME (Country AS country, record_year AS year) FROM ({_YEARLY})
+""",
         "yearly_job": _YEARLY,
         "monthly_job": _MONTHLY_TIMED,
         "hourly_job": _SUMMARY_EXACT,

@@ -18,7 +18,7 @@ _PARTS = {"year": (YEAR, F.year), "month": (MONTH, F.month), "hour": (HOUR, F.ho
 
 
 def event_time(text: Column, time_format: str = TIME_FORMAT) -> Column:
-    """The time written in ``text``, NULL where it does not follow the format.
+    """The time written in ``text``, NULL where it does not follow the format (four-digit years).
 
     The standard format goes through a cast, which costs about half of what the pattern
     formatter costs per row. The cast alone would accept further spellings (a ``T``, fractions of

@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DoubleType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 # The input layout. CSV files bind to it by position, Parquet files by name.
 COUNTRY = "Country"
@@ -19,6 +25,13 @@ ENERGY_SCHEMA = StructType(
         StructField("CFEpercent", DoubleType()),
     ]
 )
+# The same table with times already parsed, for copies that are read again and again.
+TYPED_SCHEMA = StructType(
+    [
+        StructField(field.name, TimestampNTZType()) if field.name == EVENT_TIME else field
+        for field in ENERGY_SCHEMA
+    ]
+)
 CSV_HEADER = ",".join(ENERGY_SCHEMA.names)
 
 

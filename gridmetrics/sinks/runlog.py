@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,15 +17,18 @@ RUN_DECIMALS = 6
 def append_run(
     spark: SparkSession, path: str, query: int, workers: int, seconds: float, fmt: str = "csv"
 ) -> None:
-    """Add one run. Every run is a file of its own, so runs may be added at the same time."""
+    """Add one run to the table at ``path``.
+
+    Every run has a folder of its own below it: jobs that finish together would otherwise clear
+    away each other's unfinished files.
+    """
     run = spark.createDataFrame([(query, workers, float(seconds))], RUN_SCHEMA)
     (
         run.withColumn("tempo_totale", F.round("tempo_totale", RUN_DECIMALS))
         .coalesce(1)
-        .write.mode("append")
-        .option("header", "true")
+        .write.option("header", "true")
         .format(checked_format(fmt))
-        .save(path)
+        .save(f"{path.rstrip('/')}/{uuid.uuid4().hex}")
     )
 
 
@@ -31,6 +36,7 @@ def read_runs(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return (
         spark.read.schema(RUN_SCHEMA)
         .option("header", "true")
+        .option("recursiveFileLookup", "true")
         .format(checked_format(fmt))
         .load(path)
     )

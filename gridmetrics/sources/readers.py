@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmetrics.schema import ENERGY_SCHEMA
+from gridmetrics.schema import ENERGY_SCHEMA, TYPED_SCHEMA
 
 PLACE = "place"
 FORMATS = ("parquet", "csv")
@@ -21,10 +21,12 @@ def _flag(value: bool) -> str:
     return "true" if value else "false"
 
 
-def checked_format(fmt: str) -> str:
+def checked_format(fmt: str, typed: bool = False) -> str:
     name = fmt.lower()
     if name not in FORMATS:
         raise ValueError(f"format must be one of {', '.join(FORMATS)}, not {fmt!r}")
+    if typed and name != "parquet":
+        raise ValueError("only parquet files keep typed times")
     return name
 
 
@@ -33,14 +35,18 @@ def read_energy(
     path: str | Sequence[str],
     fmt: str = "parquet",
     recursive: bool = True,
+    typed: bool = False,
 ) -> DataFrame:
     """The energy table from files or folders, with its declared schema.
 
     Parquet columns bind by name. CSV columns bind by position whatever their header says; every
-    file has one header line. ``event_time`` is text in both; see ``with_event_time``.
+    file has one header line. ``event_time`` is text in both (see ``with_event_time``), except in
+    Parquet files that ``write_energy`` made with ``typed``.
     """
-    reader = spark.read.schema(ENERGY_SCHEMA).option("recursiveFileLookup", _flag(recursive))
-    if checked_format(fmt) == "parquet":
+    fmt = checked_format(fmt, typed)
+    schema = TYPED_SCHEMA if typed else ENERGY_SCHEMA
+    reader = spark.read.schema(schema).option("recursiveFileLookup", _flag(recursive))
+    if fmt == "parquet":
         return reader.parquet(*_paths(path))
     return reader.option("header", "true").option("sep", ",").csv(_paths(path))
 

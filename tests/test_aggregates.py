@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from gridmetrics import plans
@@ -104,6 +105,29 @@ def test_all_forms_of_the_day_profile_agree(spark, energy_frame, seed):
         assert left[2:] == pytest.approx(right[2:], rel=1e-12)
 
 
+@pytest.mark.parametrize("seed", [7, 8])
+def test_summary_against_brute_force(energy_frame, seed):
+    rows = _random_rows(seed, 1500)
+    hours = {}
+    for country, time, *values in rows:
+        hour = int(time[11:13]) if time and time != "bad" else None
+        for tag, value in zip(("carbon-intensity", "cfe"), values, strict=True):
+            if value is not None:
+                hours.setdefault((country, tag), {}).setdefault(hour, []).append(value)
+    profile = plans.hourly_profile(energy_frame(rows).repartition(8))
+    exact, approx = (
+        {tuple(row[:2]): row[2:] for row in plans.hourly_summary(profile, method=m).collect()}
+        for m in ("exact", "approx")
+    )
+    assert exact.keys() == approx.keys() == hours.keys()
+    for key, groups in hours.items():
+        means = sorted(sum(values) / len(values) for values in groups.values())
+        expected = np.percentile(means, [0, 25, 50, 75, 100])
+        assert exact[key] == pytest.approx(tuple(expected), rel=1e-12)
+        picks = [means[math.ceil(p * len(means)) - 1] for p in (0.25, 0.5, 0.75)]
+        assert list(approx[key]) == [means[0], *picks, means[-1]]
+
+
 def test_folds_of_parts_merge_to_the_whole(energy_frame):
     rows = _random_rows(6)
     parts = [
@@ -121,7 +145,8 @@ def test_group_without_values_has_null_results(energy_frame):
 
 def test_empty_input_keeps_the_schema(energy_frame):
     energy = energy_frame([])
-    empty, full = plans.yearly_stats(energy), energy_frame([("IT", "2021-01-01 00:00:00", 1.0, 2.0)])
+    full = energy_frame([("IT", "2021-01-01 00:00:00", 1.0, 2.0)])
+    empty = plans.yearly_stats(energy)
     assert empty.collect() == []
     assert empty.schema == plans.yearly_stats(full).schema
     for method in ("exact", "approx", "sorted_list"):
@@ -131,7 +156,8 @@ def test_empty_input_keeps_the_schema(energy_frame):
 
 
 def test_bad_times_form_their_own_group(energy_frame):
-    rows = [("IT", "bad", 1.0, 2.0), ("IT", None, 3.0, 4.0), ("IT", "2021-01-01 00:00:00", 9.0, 9.0)]
+    rows = [("IT", "bad", 1.0, 2.0), ("IT", None, 3.0, 4.0)]
+    rows.append(("IT", "2021-01-01 00:00:00", 9.0, 9.0))
     found = {row.record_year: row for row in plans.yearly_stats(energy_frame(rows)).collect()}
     assert found[None].avg_carbon_intensity == 2.0
     assert found[2021].avg_carbon_intensity == 9.0
@@ -188,6 +214,12 @@ def _months(energy_frame, values):
     return plans.monthly_means(energy_frame(rows))
 
 
+def _ranked_months(monthly):
+    return {
+        name: [row.record_month for row in df.collect()] for name, df in rankings(monthly).items()
+    }
+
+
 def test_ties_go_to_the_earlier_month(energy_frame):
     monthly = _months(energy_frame, [5.0, 7.0, 7.0, 5.0, 7.0])
     highest = top_k(monthly, "avg_carbon_intensity", 2).collect()
@@ -198,14 +230,14 @@ def test_ties_go_to_the_earlier_month(energy_frame):
 
 def test_nulls_rank_last_both_ways(energy_frame):
     monthly = _months(energy_frame, [None, 2.0, 1.0])
-    found = {name: [row.record_month for row in df.collect()] for name, df in rankings(monthly).items()}
+    found = _ranked_months(monthly)
     assert found["carbon_intensity_desc"] == [2, 3, 1]
     assert found["carbon_intensity_asc"] == [3, 2, 1]
 
 
 def test_nan_is_the_highest_number_in_both_directions(energy_frame):
     monthly = _months(energy_frame, [1.0, math.nan, 2.0])
-    found = {name: [row.record_month for row in df.collect()] for name, df in rankings(monthly).items()}
+    found = _ranked_months(monthly)
     assert found["carbon_intensity_desc"] == [2, 3, 1]
     assert found["carbon_intensity_asc"] == [1, 3, 2]
 

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from gridmetrics import plans
 from gridmetrics.functions import parse_lines, with_event_time
 from gridmetrics.schema import CSV_HEADER, ENERGY_SCHEMA
-from gridmetrics.sinks import append_run, materialised, read_runs, to_key_json, write_csv, write_outputs
+from gridmetrics.sinks import (
+    append_run,
+    materialised,
+    read_runs,
+    to_key_json,
+    write_csv,
+    write_outputs,
+)
 from gridmetrics.sources import (
     country_folder,
     read_energy,
@@ -69,7 +76,8 @@ def test_one_file_and_many_paths(spark, two_files):
 
 
 def test_bad_and_missing_fields_are_null(spark, tmp_path):
-    _write(tmp_path / "x.csv", CSV_HEADER, "IT,2021-01-01 00:00:00,xx,", "IT,2021-01-01 01:00:00", "IT")
+    lines = ["IT,2021-01-01 00:00:00,xx,", "IT,2021-01-01 01:00:00", "IT"]
+    _write(tmp_path / "x.csv", CSV_HEADER, *lines)
     path = str(tmp_path / "x.csv")
     by_reader = with_event_time(read_energy(spark, path, "csv"))
     by_lines = parse_lines(read_lines(spark, path))
@@ -154,7 +162,9 @@ def test_ingest_renames_and_casts(spark):
 
 
 def test_ingest_of_another_time_format(spark):
-    raw = spark.sql("SELECT 'IT' Country, '01/02/2021 03:00' event_time, 1 CarbonDirect, 2 CFEpercent")
+    raw = spark.sql(
+        "SELECT 'IT' Country, '01/02/2021 03:00' event_time, 1 CarbonDirect, 2 CFEpercent"
+    )
     energy = to_energy_table(raw, time_format="dd/MM/yyyy HH:mm")
     assert tuple(energy.first()) == ("IT", "2021-02-01 03:00:00", 1.0, 2.0)
 
@@ -167,6 +177,18 @@ def test_country_folders(spark, energy_frame, tmp_path, fmt):
     assert _rows(read_energy(spark, path, fmt)) == sorted(ROWS)
 
 
+@pytest.mark.parametrize("by_country", [False, True])
+def test_typed_copy(spark, energy_frame, tmp_path, by_country):
+    path = str(tmp_path / "typed")
+    write_energy(energy_frame(ROWS), path, by_country=by_country, typed=True)
+    typed = read_energy(spark, path, typed=True)
+    assert dict(typed.dtypes)["event_time"] == "timestamp_ntz"
+    assert with_event_time(typed) is typed
+    assert _rows(plans.yearly_stats(typed)) == _rows(plans.yearly_stats(energy_frame(ROWS)))
+    with pytest.raises(ValueError, match="typed"):
+        write_energy(energy_frame(ROWS), path, "csv", typed=True)
+
+
 def test_a_dominant_country_is_written_by_many_tasks(spark, tmp_path):
     settings = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
@@ -249,7 +271,7 @@ def test_column_names_and_times_of_result_files(spark, tmp_path):
 def test_outputs_go_to_folders_of_their_own(spark, tmp_path):
     frames = {"up": spark.range(3), "down": spark.range(2)}
     paths = write_outputs(frames, str(tmp_path / "out"), order_by={"up": [F.desc("id")]})
-    assert {name: os.path.basename(path) for name, path in paths.items()} == {"up": "up", "down": "down"}
+    assert {name: os.path.basename(path) for name, path in paths.items()} == {n: n for n in frames}
     assert [row.value for row in spark.read.text(paths["up"]).collect()] == ["id", "2", "1", "0"]
 
 
