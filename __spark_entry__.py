@@ -34,8 +34,9 @@ from gridmetrics.operators import (
     run_means,
     to_long,
 )
+from gridmetrics.operators.rank import ranking_orders
 from gridmetrics.plans.questions import HOURLY_KEYS, YEARLY_KEYS
-from gridmetrics.schema import COUNTRY, CSV_HEADER, EVENT_TIME, HOUR, MONTH, YEAR
+from gridmetrics.schema import COUNTRY, CSV_HEADER, EVENT_TIME, HOUR, MONTH, TOP_K, YEAR
 from gridmetrics.sinks import materialised, to_key_json, write_csv, write_outputs
 from gridmetrics.sinks.writers import TIME_OUTPUT
 from gridmetrics.sources import (
@@ -168,7 +169,10 @@ def board_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rankings_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four rankings, written to a folder each and read back."""
     with materialised(monthly_means_sql(spark, sf_dir)) as (monthly, _):
-        paths = write_outputs(rankings(monthly), new_folder(spark, "rankings"))
+        folder = new_folder(spark, "rankings")
+        paths = write_outputs(
+            rankings(monthly), folder, order_by=ranking_orders(), row_bound=TOP_K
+        )
     schema = (
         f"{YEAR} int, {MONTH} int, avg_carbon_intensity double, avg_cfe_percentage double"
     )

@@ -24,7 +24,7 @@ from gridmetrics.plans import (
     yearly_stats,
     yearly_stats_sql,
 )
-from gridmetrics.schema import COUNTRY, HOUR, MONTH, MONTH_TIMESTAMP, YEAR
+from gridmetrics.schema import COUNTRY, HOUR, METRICS, MONTH, MONTH_TIMESTAMP, YEAR
 from gridmetrics.session import energy_session
 from gridmetrics.sinks import append_run, materialised, write_outputs
 from gridmetrics.sources import read_energy, read_lines, register_energy
@@ -115,13 +115,15 @@ def run(
     variant = VARIANTS[number]
     started = time.perf_counter()
     energy = load(spark, source, variant, country if variant.question == "monthly" else None)
-    with materialised(grouped(spark, energy, variant)) as (table, _):
+    with materialised(grouped(spark, energy, variant)) as (table, rows):
         outputs = results(spark, table, variant)
         for df in outputs.values():
             df.write.format("noop").mode("overwrite").save()
         seconds = time.perf_counter() - started
         base = f"{target.rstrip('/')}/{variant.name.lower()}"
-        paths = write_outputs(outputs, base, single_file, result_orders())
+        # A result has no more rows than the grouped table, or one per country and metric.
+        bound = rows * len(METRICS)
+        paths = write_outputs(outputs, base, single_file, result_orders(), bound)
     if run_log is not None:
         append_run(spark, run_log, number, workers, seconds)
     return paths

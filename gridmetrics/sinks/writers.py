@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import Column, DataFrame
 
@@ -45,25 +45,25 @@ def write_csv(
     single_file: bool = False,
     order_by: Sequence[str | Column] = (),
     column_names: Sequence[str] = (),
+    row_bound: int | None = None,
     single_file_rows: int = SINGLE_FILE_ROWS,
 ) -> None:
     """Write a result as CSV with headers, replacing what is at ``path``.
 
     ``single_file`` is for small results read by people and plotting tools. The rows are counted
-    first; more than ``single_file_rows`` are written by many tasks after all, in order across
-    the files. The last step is a repartition, not a coalesce: a coalesce would pull the
-    aggregation before it into the one writing task.
+    first unless the caller knows a bound on them; more than ``single_file_rows`` are written by
+    many tasks after all, in order across the files. The last step is a repartition, not a
+    coalesce: a coalesce would pull the aggregation before it into the one writing task.
     """
-    named = df.toDF(*column_names) if column_names else df
-    if not single_file:
-        _save(named.orderBy(*order_by) if order_by else named, path)
-        return
-    with materialised(named) as (result, rows):
-        if rows > single_file_rows:
-            _save(result.orderBy(*order_by) if order_by else result, path)
+    result = df.toDF(*column_names) if column_names else df
+    with ExitStack() as held:
+        if single_file and row_bound is None:
+            result, row_bound = held.enter_context(materialised(result))
+        if single_file and row_bound <= single_file_rows:
+            result = result.repartition(1)
+            _save(result.sortWithinPartitions(*order_by) if order_by else result, path)
         else:
-            one = result.repartition(1)
-            _save(one.sortWithinPartitions(*order_by) if order_by else one, path)
+            _save(result.orderBy(*order_by) if order_by else result, path)
 
 
 def write_outputs(
@@ -71,9 +71,11 @@ def write_outputs(
     base: str,
     single_file: bool = True,
     order_by: Mapping[str, Sequence[str | Column]] | None = None,
+    row_bound: int | None = None,
 ) -> dict[str, str]:
     """Write several results to sub-folders named after them; returns their paths."""
     paths = {name: f"{base.rstrip('/')}/{name}" for name in outputs}
     for name, df in outputs.items():
-        write_csv(df, paths[name], single_file, (order_by or {}).get(name, ()))
+        order = (order_by or {}).get(name, ())
+        write_csv(df, paths[name], single_file, order, row_bound=row_bound)
     return paths

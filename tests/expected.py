@@ -108,7 +108,7 @@ HOURLY_MEANS = {
     ],
 }
 
-# Minimum, quartiles and maximum of the hourly means, with interpolated quartiles.
+# Minimum, quartiles and maximum of the hourly means, quartiles interpolated.
 EXACT_SUMMARY = {
     ("IT", "carbon-intensity"): (
         219.02932912107204,
@@ -140,7 +140,7 @@ EXACT_SUMMARY = {
     ),
 }
 
-# Minimum, quartiles and maximum of the hourly means, with quartiles taken from the means.
+# Minimum, quartiles and maximum of the hourly means, quartiles being means themselves.
 APPROX_SUMMARY = {
     ("IT", "carbon-intensity"): (
         219.02932912107204,

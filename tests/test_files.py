@@ -251,6 +251,14 @@ def test_many_rows_are_not_squeezed_into_one_file(spark, tmp_path):
     assert read == list(range(1000))
 
 
+def test_a_known_bound_saves_the_count(spark, tmp_path):
+    frame = spark.range(0, 100, 1, 4)
+    write_csv(frame, str(tmp_path / "low"), single_file=True, row_bound=100)
+    write_csv(frame, str(tmp_path / "high"), single_file=True, row_bound=2_000_000)
+    assert len(_parts(tmp_path / "low")) == 1
+    assert len(_parts(tmp_path / "high")) == 4
+
+
 def test_results_are_replaced(spark, tmp_path):
     path = str(tmp_path / "again")
     for n in (3, 2):
