@@ -19,6 +19,7 @@ from gridmetrics.functions import (
     canonical_country,
     of_country,
     parse_lines,
+    time_fields,
     time_text,
     with_event_time,
     with_parts,
@@ -246,6 +247,13 @@ def parse_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def written_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year, month and hour as written in the time text, counted."""
+    fields = _table(spark, sf_dir, "events").select(time_fields(time_text(F.col("ts"))).alias("f"))
+    parts = [F.get("f", F.lit(i)).alias(name) for i, name in ((0, YEAR), (1, MONTH), (3, HOUR))]
+    return fields.select(*parts).groupBy(YEAR, MONTH, HOUR).agg(F.count("*").alias("events"))
+
+
 def country_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(of_country(_events(spark, sf_dir), "click"))
 
@@ -401,6 +409,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "five_number_approx": _summary("approx"),
         "wide_to_long": wide_to_long,
         "parse_event_time": parse_event_time,
+        "time_fields": written_fields,
         "country_filter": country_filter,
         "canonical_labels": canonical_labels,
         "parse_lines": parse_text_lines,
@@ -558,6 +567,12 @@ SELECT event_type, CAST(year(t) AS INTEGER) AS record_year,
        count(*) AS events, max(t) AS last_time
 FROM times
 GROUP BY event_type, year(t), month(t), hour(t)
+""",
+        "time_fields": """
+SELECT CAST(year(ts) AS INTEGER) AS record_year, CAST(month(ts) AS INTEGER) AS record_month,
+       CAST(hour(ts) AS INTEGER) AS record_hour, count(*) AS events
+FROM events
+GROUP BY 1, 2, 3
 """,
         "country_filter": """
 SELECT event_type AS Country, ts AS event_time, round(value, 6) AS "CarbonDirect",

@@ -29,6 +29,16 @@ def event_time(text: Column, time_format: str = TIME_FORMAT) -> Column:
     return F.try_to_timestamp(text, F.lit(time_format)).cast("timestamp_ntz")
 
 
+def time_fields(text: Column) -> Column:
+    """Year, month, day, hour, minute and second as an array of the integers written in ``text``.
+
+    Nothing is checked against the calendar, and a field that is no number is NULL. Use
+    ``event_time`` for times; this is for looking at text that is none.
+    """
+    blanks = F.trim(F.translate(text, "-:", "  "))
+    return F.transform(F.split(blanks, " +"), lambda field: field.try_cast("int"))
+
+
 def time_text(time: Column) -> Column:
     """A timestamp as text in the standard format, fractions of a second cut off."""
     return F.substring(time.cast("string"), 1, len(TIME_FORMAT))

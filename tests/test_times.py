@@ -4,7 +4,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gridmetrics.functions import event_time, time_text, with_event_time, with_parts
+from gridmetrics.functions import (
+    event_time,
+    time_fields,
+    time_text,
+    with_event_time,
+    with_parts,
+)
 from gridmetrics.schema import TIME_FORMAT
 
 BAD = [
@@ -96,3 +102,14 @@ def test_parsed_times_are_left_alone(spark):
 def test_time_text_cuts_fractions(spark):
     frame = spark.sql("SELECT TIMESTAMP_NTZ'2021-01-01 10:00:59.987' AS t")
     assert frame.select(time_text(F.col("t"))).first()[0] == "2021-01-01 10:00:59"
+
+
+def test_fields_as_written(spark):
+    texts = ["2021-01-01 00:05:00", "2021-13-45  99:00:00 ", "2021-x-01", "", None]
+    assert _parsed(spark, texts, time_fields(F.col("t"))) == [
+        [2021, 1, 1, 0, 5, 0],
+        [2021, 13, 45, 99, 0, 0],
+        [2021, None, 1],
+        [None],
+        None,
+    ]
