@@ -3,15 +3,18 @@
 The energy table is played by two of them. ``lineitem`` stands in for the yearly and monthly
 questions (country = return flag, time = ship date, metrics = price and discount), ``events`` for
 the hourly one (country = event type, metrics = value and the number in ``props``). All queries
-run over whole tables. Results are rounded to six decimals on both sides, since sums of doubles
-depend on the order in which tasks finish.
+run over whole tables.
+
+Sums of doubles depend on the order in which tasks finish, unless the values are whole numbers. So the
+metrics are taken in hundredths, and means compare to the last bit. Only quartiles are rounded (six
+decimals): the interpolation formulas differ in the last bit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmetrics import jobs, plans
@@ -62,12 +65,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _hundredths(name: str) -> Column:
+    return F.rint(F.col(name) * 100)
+
+
 def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias(COUNTRY),
         F.col("l_shipdate").alias(EVENT_TIME),
-        F.col("l_extendedprice").alias("CarbonDirect"),
-        F.col("l_discount").alias("CFEpercent"),
+        _hundredths("l_extendedprice").alias("CarbonDirect"),
+        _hundredths("l_discount").alias("CFEpercent"),
     )
 
 
@@ -75,7 +82,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
         F.col("event_type").alias(COUNTRY),
         F.col("ts").alias(EVENT_TIME),
-        F.col("value").alias("CarbonDirect"),
+        _hundredths("value").alias("CarbonDirect"),
         F.get_json_object("props", "$.k").try_cast("double").alias("CFEpercent"),
     )
 
@@ -87,13 +94,9 @@ def _shipment_files(spark: SparkSession, sf_dir: str, fmt: str, by_country: bool
     return path
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.select(
-        *(
-            F.round(name, DECIMALS).alias(name) if kind == "double" else F.col(name)
-            for name, kind in df.dtypes
-        )
-    )
+def _quartiles_rounded(summary: DataFrame) -> DataFrame:
+    marks = [name for name in summary.columns if name.startswith("perc_")]
+    return summary.withColumns({name: F.round(name, DECIMALS) for name in marks})
 
 
 def _whole_seconds(df: DataFrame, column: str) -> DataFrame:
@@ -104,16 +107,16 @@ def _whole_seconds(df: DataFrame, column: str) -> DataFrame:
 
 
 def yearly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(plans.yearly_stats(_shipments(spark, sf_dir)))
+    return plans.yearly_stats(_shipments(spark, sf_dir))
 
 
 def yearly_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_energy(_shipments(spark, sf_dir), "shipment_data")
-    return _rounded(plans.yearly_stats_sql(spark, "shipment_data"))
+    return plans.yearly_stats_sql(spark, "shipment_data")
 
 
 def yearly_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(plans.yearly_fold(_shipments(spark, sf_dir)))
+    return plans.yearly_fold(_shipments(spark, sf_dir))
 
 
 def yearly_fold_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +125,7 @@ def yearly_fold_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     time, border = F.col(EVENT_TIME), F.lit("1998-07-01").cast("timestamp_ntz")
     loads = [rows.filter(time < border), rows.filter((time >= border) | time.isNull())]
     folds = [fold(load, YEARLY_KEYS) for load in loads]
-    return _rounded(finish_fold(merge_folds(*folds, keys=YEARLY_KEYS), YEARLY_KEYS))
+    return finish_fold(merge_folds(*folds, keys=YEARLY_KEYS), YEARLY_KEYS)
 
 
 # Monthly means and rankings
@@ -133,24 +136,24 @@ def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_monthly(spark, sf_dir))
+    return _monthly(spark, sf_dir)
 
 
 def monthly_means_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_energy(of_country(_shipments(spark, sf_dir), "A"), "shipment_one")
-    return _rounded(plans.monthly_means_sql(spark, "shipment_one"))
+    return plans.monthly_means_sql(spark, "shipment_one")
 
 
 def monthly_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(plans.monthly_fold(of_country(_shipments(spark, sf_dir), "A")))
+    return plans.monthly_fold(of_country(_shipments(spark, sf_dir), "A"))
 
 
 def monthly_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.monthly_timeseries(_rounded(_monthly(spark, sf_dir)))
+    return plans.monthly_timeseries(_monthly(spark, sf_dir))
 
 
 def _ranking(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: rankings(_rounded(_monthly(spark, sf_dir)))[name]
+    return lambda spark, sf_dir: rankings(_monthly(spark, sf_dir))[name]
 
 
 def top5_price_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +162,7 @@ def top5_price_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking_board(_rounded(_monthly(spark, sf_dir)))
+    return ranking_board(_monthly(spark, sf_dir))
 
 
 def board_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,38 +196,38 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = _whole_seconds(_rounded(_profile(spark, sf_dir)), "hour_timestamp")
+    profile = _whole_seconds(_profile(spark, sf_dir), "hour_timestamp")
     return profile.orderBy(*HOURLY_KEYS)
 
 
 def hourly_profile_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_energy(_events(spark, sf_dir), "event_data")
-    return _rounded(plans.hourly_profile_sql(spark, "event_data"))
+    return plans.hourly_profile_sql(spark, "event_data")
 
 
 def hourly_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(plans.hourly_fold(_events(spark, sf_dir)))
+    return plans.hourly_fold(_events(spark, sf_dir))
 
 
 def _summary(method: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: _rounded(
+    return lambda spark, sf_dir: _quartiles_rounded(
         plans.hourly_summary(_profile(spark, sf_dir), method=method)
     )
 
 
 def five_number_sorted_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
+    return _quartiles_rounded(
         five_number(plans.hourly_fold(_events(spark, sf_dir)), method="sorted_list")
     )
 
 
 def five_number_exact_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_energy(_events(spark, sf_dir), "event_data")
-    return _rounded(plans.hourly_summary_sql(spark, "event_data"))
+    return _quartiles_rounded(plans.hourly_summary_sql(spark, "event_data"))
 
 
 def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(to_long(_profile(spark, sf_dir)))
+    return to_long(_profile(spark, sf_dir))
 
 
 # Times, labels, filters
@@ -255,7 +258,7 @@ def written_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def country_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(of_country(_events(spark, sf_dir), "click"))
+    return of_country(_events(spark, sf_dir), "click")
 
 
 def canonical_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,24 +275,24 @@ def parse_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines of CSV files, split and cast by column expressions, then folded."""
     lines = read_lines(spark, _shipment_files(spark, sf_dir, "csv"), header=CSV_HEADER)
     rows = with_parts(parse_lines(lines), "year", "month", "hour")
-    return _rounded(fold(rows, [COUNTRY, YEAR, MONTH, HOUR]))
+    return fold(rows, [COUNTRY, YEAR, MONTH, HOUR])
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _shipment_files(spark, sf_dir, "csv")
-    return _rounded(plans.yearly_stats(read_energy(spark, files, "csv")))
+    return plans.yearly_stats(read_energy(spark, files, "csv"))
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _shipment_files(spark, sf_dir, "parquet")
-    return _rounded(plans.yearly_stats(read_energy(spark, files, "parquet")))
+    return plans.yearly_stats(read_energy(spark, files, "parquet"))
 
 
 def typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A copy whose times are parsed once, at ingest."""
     path = new_folder(spark, "shipments-typed")
     write_energy(to_energy_table(_shipments(spark, sf_dir)), path, by_country=True, typed=True)
-    return _rounded(plans.yearly_stats(read_energy(spark, path, typed=True)))
+    return plans.yearly_stats(read_energy(spark, path, typed=True))
 
 
 def both_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +314,7 @@ def country_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder per country; each is read by its path, then all are put together."""
     path = _shipment_files(spark, sf_dir, "csv", by_country=True)
     countries = [read_energy(spark, country_folder(path, flag), "csv") for flag in FLAGS]
-    return _rounded(plans.yearly_stats(union_sources(*countries)))
+    return plans.yearly_stats(union_sources(*countries))
 
 
 def result_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,7 +338,7 @@ def yearly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _shipment_files(spark, sf_dir, "csv")
     paths = jobs.run(spark, 8, source, new_folder(spark, "yearly-job"))
     columns = yearly_stats(spark, sf_dir).schema
-    return _rounded(spark.read.csv(paths["stats"], columns, header=True))
+    return spark.read.csv(paths["stats"], columns, header=True)
 
 
 def monthly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,18 +347,21 @@ def monthly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = jobs.run(spark, 12, source, new_folder(spark, "monthly-job"), country="A")
     columns = _monthly(spark, sf_dir).schema
     reader = spark.read.schema(columns).option("timestampNTZFormat", TIME_OUTPUT)
-    return _rounded(reader.csv(paths["timeseries"], header=True))
+    return reader.csv(paths["timeseries"], header=True)
 
 
 def hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From Parquet files to both result files of the hourly question; the summary, read back."""
     paths = jobs.run(spark, 4, _event_files(spark, sf_dir), new_folder(spark, "hourly-job"))
     columns = plans.hourly_summary(_profile(spark, sf_dir)).schema
-    return _rounded(spark.read.csv(paths["summary"], columns, header=True))
+    return _quartiles_rounded(spark.read.csv(paths["summary"], columns, header=True))
 
 
 def key_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_key_json(yearly_stats(spark, sf_dir), YEARLY_KEYS, prefix="yearly")
+    """As decimals, because engines write doubles in different notations."""
+    stats = yearly_stats(spark, sf_dir)
+    decimals = [F.col(name).cast("decimal(18, 4)").alias(name) for name in stats.columns[2:]]
+    return to_key_json(stats.select(*YEARLY_KEYS, *decimals), YEARLY_KEYS, prefix="yearly")
 
 
 # Run times
@@ -365,16 +371,16 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
         (F.col("user_id") % 17 + 1).cast("int").alias("query"),
         (F.col("user_id") % 4 + 1).cast("int").alias("workers_number"),
-        F.col("value").alias("tempo_totale"),
+        _hundredths("value").alias("tempo_totale"),
     )
 
 
 def run_time_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(run_means(_runs(spark, sf_dir)))
+    return run_means(_runs(spark, sf_dir))
 
 
 def run_time_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(run_comparison(_runs(spark, sf_dir)))
+    return run_comparison(_runs(spark, sf_dir))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -430,25 +436,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # The same questions in SQL
 
-_YEARLY = """
+_SHIPMENTS = """
+(SELECT l_returnflag, l_shipdate, round(l_extendedprice * 100) AS price,
+        round(l_discount * 100) AS discount
+ FROM lineitem)
+"""
+
+_YEARLY = f"""
 SELECT l_returnflag AS Country, CAST(year(l_shipdate) AS INTEGER) AS record_year,
-       round(avg(l_extendedprice), 6) AS avg_carbon_intensity,
-       round(min(l_extendedprice), 6) AS min_carbon_intensity,
-       round(max(l_extendedprice), 6) AS max_carbon_intensity,
-       round(avg(l_discount), 6) AS avg_cfe_percentage,
-       round(min(l_discount), 6) AS min_cfe_percentage,
-       round(max(l_discount), 6) AS max_cfe_percentage
-FROM lineitem
+       avg(price) AS avg_carbon_intensity,
+       min(price) AS min_carbon_intensity,
+       max(price) AS max_carbon_intensity,
+       avg(discount) AS avg_cfe_percentage,
+       min(discount) AS min_cfe_percentage,
+       max(discount) AS max_cfe_percentage
+FROM {_SHIPMENTS}
 GROUP BY ALL
 """
 
-_MONTHLY = """
+_MONTHLY = f"""
 SELECT CAST(year(l_shipdate) AS INTEGER) AS record_year,
        CAST(month(l_shipdate) AS INTEGER) AS record_month,
-       round(avg(l_extendedprice), 6) AS avg_carbon_intensity,
-       round(avg(l_discount), 6) AS avg_cfe_percentage
-       {first}
-FROM lineitem
+       avg(price) AS avg_carbon_intensity,
+       avg(discount) AS avg_cfe_percentage
+       {{first}}
+FROM {_SHIPMENTS}
 WHERE l_returnflag = 'A'
 GROUP BY year(l_shipdate), month(l_shipdate)
 """
@@ -456,7 +468,8 @@ _MONTHLY_PLAIN = _MONTHLY.format(first="")
 _MONTHLY_TIMED = _MONTHLY.format(first=", min(l_shipdate) AS month_timestamp")
 
 _EVENTS = """
-SELECT event_type AS Country, date_trunc('second', ts) AS event_time, value AS carbon,
+SELECT event_type AS Country, date_trunc('second', ts) AS event_time,
+       round(value * 100) AS carbon,
        TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS cfe
 FROM events
 """
@@ -469,13 +482,7 @@ FROM ({_EVENTS})
 GROUP BY Country, hour(event_time)
 """
 
-_PROFILE_ROUNDED = f"""
-SELECT Country, record_hour,
-       round(avg_hour_carbon_intensity, 6) AS avg_hour_carbon_intensity,
-       round(avg_hour_cfe_percentage, 6) AS avg_hour_cfe_percentage
-       {{first}}
-FROM ({_PROFILE})
-"""
+_PROFILE_UNTIMED = f"SELECT * EXCLUDE (hour_timestamp) FROM ({_PROFILE})"
 
 _LONG = f"""
 SELECT Country, record_hour, 'carbon-intensity' AS data, avg_hour_carbon_intensity AS value
@@ -486,11 +493,11 @@ FROM ({_PROFILE})
 """
 
 _SUMMARY = """
-SELECT Country, data, round(min(value), 6) AS min,
+SELECT Country, data, min(value) AS min,
        round({quantile}(value, 0.25), 6) AS perc_25,
        round({quantile}(value, 0.5), 6) AS perc_50,
        round({quantile}(value, 0.75), 6) AS perc_75,
-       round(max(value), 6) AS max
+       max(value) AS max
 FROM ({long})
 GROUP BY Country, data
 """
@@ -499,7 +506,8 @@ _SUMMARY_ELEMENT = _SUMMARY.format(quantile="quantile_disc", long=_LONG)
 
 _RUNS = """
 SELECT CAST(user_id % 17 + 1 AS INTEGER) AS query,
-       CAST(user_id % 4 + 1 AS INTEGER) AS workers_number, value AS t
+       CAST(user_id % 4 + 1 AS INTEGER) AS workers_number,
+       round(value * 100) AS t
 FROM events
 """
 
@@ -541,16 +549,14 @@ def oracle_sql() -> dict[str, str]:
         "ranking_board": _ranked_all(_MONTHLY_TIMED),
         "ranking_board_sql": _ranked_all(_MONTHLY_PLAIN),
         "rankings_written": _ranked_all(_MONTHLY_PLAIN),
-        "hourly_profile": _PROFILE_ROUNDED.format(first=", hour_timestamp"),
-        "hourly_profile_sql": _PROFILE_ROUNDED.format(first=""),
-        "hourly_fold": _PROFILE_ROUNDED.format(first=""),
+        "hourly_profile": _PROFILE,
+        "hourly_profile_sql": _PROFILE_UNTIMED,
+        "hourly_fold": _PROFILE_UNTIMED,
         "five_number_exact": _SUMMARY_EXACT,
         "five_number_exact_sql": _SUMMARY_EXACT,
         "five_number_sorted_list": _SUMMARY_EXACT,
         "five_number_approx": _SUMMARY_ELEMENT,
-        "wide_to_long": f"""
-SELECT Country, record_hour, data, round(value, 6) AS value FROM ({_LONG})
-""",
+        "wide_to_long": _LONG,
         "parse_event_time": """
 WITH texts AS (
   SELECT event_type,
@@ -575,38 +581,38 @@ FROM events
 GROUP BY 1, 2, 3
 """,
         "country_filter": """
-SELECT event_type AS Country, ts AS event_time, round(value, 6) AS "CarbonDirect",
-       round(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 6) AS "CFEpercent"
+SELECT event_type AS Country, ts AS event_time, round(value * 100) AS "CarbonDirect",
+       TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS "CFEpercent"
 FROM events
 WHERE event_type = 'click'
 """,
-        "canonical_labels": """
+        "canonical_labels": f"""
 SELECT CASE l_returnflag WHEN 'A' THEN 'AA' WHEN 'N' THEN 'NN' ELSE l_returnflag END AS Country,
-       count(*) AS hours, max(l_extendedprice) AS max_carbon_intensity
-FROM lineitem
+       count(*) AS hours, max(price) AS max_carbon_intensity
+FROM {_SHIPMENTS}
 GROUP BY 1
 """,
-        "parse_lines": """
+        "parse_lines": f"""
 SELECT l_returnflag AS Country, CAST(year(l_shipdate) AS INTEGER) AS record_year,
        CAST(month(l_shipdate) AS INTEGER) AS record_month,
        CAST(hour(l_shipdate) AS INTEGER) AS record_hour,
-       round(sum(l_extendedprice), 6) AS sum_carbon_intensity,
-       count(l_extendedprice) AS count_carbon_intensity,
-       round(min(l_extendedprice), 6) AS min_carbon_intensity,
-       round(max(l_extendedprice), 6) AS max_carbon_intensity,
-       round(sum(l_discount), 6) AS sum_cfe_percentage,
-       count(l_discount) AS count_cfe_percentage,
-       round(min(l_discount), 6) AS min_cfe_percentage,
-       round(max(l_discount), 6) AS max_cfe_percentage
-FROM lineitem
+       sum(price) AS sum_carbon_intensity,
+       count(price) AS count_carbon_intensity,
+       min(price) AS min_carbon_intensity,
+       max(price) AS max_carbon_intensity,
+       sum(discount) AS sum_cfe_percentage,
+       count(discount) AS count_cfe_percentage,
+       min(discount) AS min_cfe_percentage,
+       max(discount) AS max_cfe_percentage
+FROM {_SHIPMENTS}
 GROUP BY 1, 2, 3, 4
 """,
         "csv_roundtrip": _YEARLY,
         "parquet_roundtrip": _YEARLY,
         "typed_roundtrip": _YEARLY,
-        "both_formats": """
+        "both_formats": f"""
 SELECT format, l_returnflag AS Country, count(*) AS hours, max(l_shipdate) AS last_time
-FROM lineitem CROSS JOIN (VALUES ('parquet'), ('csv')) AS formats(format)
+FROM {_SHIPMENTS} CROSS JOIN (VALUES ('parquet'), ('csv')) AS formats(format)
 GROUP BY format, l_returnflag
 """,
         "country_file_scan": _YEARLY,
@@ -618,16 +624,18 @@ SELECT * RENAME (Country AS country, record_year AS year) FROM ({_YEARLY})
         "hourly_job": _SUMMARY_EXACT,
         "key_json": f"""
 SELECT 'yearly:' || Country || ':' || record_year AS key,
-       CAST(to_json({{'avg_carbon_intensity': avg_carbon_intensity,
-                     'min_carbon_intensity': min_carbon_intensity,
-                     'max_carbon_intensity': max_carbon_intensity,
-                     'avg_cfe_percentage': avg_cfe_percentage,
-                     'min_cfe_percentage': min_cfe_percentage,
-                     'max_cfe_percentage': max_cfe_percentage}}) AS VARCHAR) AS value
+       CAST(to_json({{
+                     'avg_carbon_intensity': CAST(avg_carbon_intensity AS DECIMAL(18, 4)),
+                     'min_carbon_intensity': CAST(min_carbon_intensity AS DECIMAL(18, 4)),
+                     'max_carbon_intensity': CAST(max_carbon_intensity AS DECIMAL(18, 4)),
+                     'avg_cfe_percentage': CAST(avg_cfe_percentage AS DECIMAL(18, 4)),
+                     'min_cfe_percentage': CAST(min_cfe_percentage AS DECIMAL(18, 4)),
+                     'max_cfe_percentage': CAST(max_cfe_percentage AS DECIMAL(18, 4))
+       }}) AS VARCHAR) AS value
 FROM ({_YEARLY})
 """,
         "run_means": f"""
-SELECT query, query_name, workers_number, round(avg(t), 6) AS tempo_totale
+SELECT query, query_name, workers_number, avg(t) AS tempo_totale
 FROM ({_RUNS}) LEFT JOIN (VALUES {_run_names()}) AS names(query, query_name) USING (query)
 GROUP BY query, query_name, workers_number
 """,
@@ -640,10 +648,6 @@ WITH means AS (
          avg(t) FILTER (query IN (8, 9, 10)) AS lines_avg
   FROM ({_RUNS})
 )
-SELECT round(parquet_avg, 6) AS parquet_avg, round(csv_avg, 6) AS csv_avg,
-       round(dataframe_avg, 6) AS dataframe_avg, round(sql_avg, 6) AS sql_avg,
-       round(lines_avg, 6) AS lines_avg,
-       round((csv_avg - parquet_avg) / parquet_avg * 100, 6) AS csv_over_parquet_percent
-FROM means
+SELECT *, (csv_avg - parquet_avg) / parquet_avg * 100 AS csv_over_parquet_percent FROM means
 """,
     }
