@@ -327,9 +327,9 @@ def result_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.csv(path, f"country string, year int, {schema}", header=True)
 
 
-def _event_files(spark: SparkSession, sf_dir: str) -> str:
-    path = new_folder(spark, "events-parquet")
-    write_energy(to_energy_table(_events(spark, sf_dir)), path, "parquet")
+def _event_files(spark: SparkSession, sf_dir: str, fmt: str) -> str:
+    path = new_folder(spark, f"events-{fmt}")
+    write_energy(to_energy_table(_events(spark, sf_dir)), path, fmt)
     return path
 
 
@@ -352,11 +352,21 @@ def monthly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From Parquet files to both result files of the hourly question; the summary, read back."""
-    paths = jobs.run(spark, 4, _event_files(spark, sf_dir), new_folder(spark, "hourly-job"))
+    source = _event_files(spark, sf_dir, "parquet")
+    paths = jobs.run(spark, 4, source, new_folder(spark, "hourly-job"))
     columns = plans.hourly_summary(_profile(spark, sf_dir)).schema
     return _quartiles_rounded(spark.read.csv(paths["summary"], columns, header=True))
 
 
+def hourly_profile_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From CSV files to the result files of the approximate form; the day profile, read back."""
+    source = _event_files(spark, sf_dir, "csv")
+    paths = jobs.run(spark, 13, source, new_folder(spark, "profile-job"))
+    columns = _profile(spark, sf_dir).schema
+    reader = spark.read.schema(columns).option("timestampNTZFormat", TIME_OUTPUT)
+    return reader.csv(paths["hourly"], header=True)
+
+
 def key_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As decimals, because engines write doubles in different notations."""
     stats = yearly_stats(spark, sf_dir)
@@ -428,6 +438,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "yearly_job": yearly_job,
         "monthly_job": monthly_job,
         "hourly_job": hourly_job,
+        "hourly_profile_job": hourly_profile_job,
         "key_json": key_json,
         "run_means": run_time_means,
         "run_comparison": run_time_comparison,
@@ -622,6 +633,7 @@ SELECT * RENAME (Country AS country, record_year AS year) FROM ({_YEARLY})
         "yearly_job": _YEARLY,
         "monthly_job": _MONTHLY_TIMED,
         "hourly_job": _SUMMARY_EXACT,
+        "hourly_profile_job": _PROFILE,
         "key_json": f"""
 SELECT 'yearly:' || Country || ':' || record_year AS key,
        CAST(to_json({{
