@@ -27,6 +27,7 @@ from gridmetrics.plans import (
 from gridmetrics.schema import COUNTRY, HOUR, METRICS, MONTH, MONTH_TIMESTAMP, YEAR
 from gridmetrics.session import energy_session
 from gridmetrics.sinks import append_run, materialised, write_outputs
+from gridmetrics.sinks.writers import together
 from gridmetrics.sources import read_energy, read_lines, register_energy
 from gridmetrics.variants import VARIANTS, Variant
 
@@ -117,8 +118,7 @@ def run(
     energy = load(spark, source, variant, country if variant.question == "monthly" else None)
     with materialised(grouped(spark, energy, variant)) as (table, rows):
         outputs = results(spark, table, variant)
-        for df in outputs.values():
-            df.write.format("noop").mode("overwrite").save()
+        together(lambda df: df.write.format("noop").mode("overwrite").save(), outputs.values())
         seconds = time.perf_counter() - started
         base = f"{target.rstrip('/')}/{variant.name.lower()}"
         # A result has no more rows than the grouped table, or one per country and metric.

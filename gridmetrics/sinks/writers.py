@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack, contextmanager
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
 
+T = TypeVar("T")
+
 SINGLE_FILE_ROWS = 1_000_000
+MAX_JOBS = 5
 # The times are UTC wall clock, so result files mark them with Z.
 TIME_OUTPUT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
@@ -30,6 +35,12 @@ def materialised(df: DataFrame) -> Iterator[tuple[DataFrame, int]]:
         kept.unpersist()
 
 
+def together(action: Callable[[T], None], items: Iterable[T]) -> None:
+    """Run an action on several items at once; the first failure is raised."""
+    with ThreadPoolExecutor(MAX_JOBS) as pool:
+        list(pool.map(action, items))
+
+
 def _save(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")
@@ -73,9 +84,15 @@ def write_outputs(
     order_by: Mapping[str, Sequence[str | Column]] | None = None,
     row_bound: int | None = None,
 ) -> dict[str, str]:
-    """Write several results to sub-folders named after them; returns their paths."""
+    """Write several results to sub-folders named after them; returns their paths.
+
+    The results are small and independent, so their jobs are submitted together.
+    """
     paths = {name: f"{base.rstrip('/')}/{name}" for name in outputs}
-    for name, df in outputs.items():
+
+    def write(name: str) -> None:
         order = (order_by or {}).get(name, ())
-        write_csv(df, paths[name], single_file, order, row_bound=row_bound)
+        write_csv(outputs[name], paths[name], single_file, order, row_bound=row_bound)
+
+    together(write, outputs)
     return paths

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -283,6 +284,12 @@ def test_outputs_go_to_folders_of_their_own(spark, tmp_path):
     assert [row.value for row in spark.read.text(paths["up"]).collect()] == ["id", "2", "1", "0"]
 
 
+def test_a_failed_output_is_reported(spark, tmp_path):
+    frames = {"good": spark.range(3), "bad": spark.range(3).selectExpr("assert_true(id < 2)")}
+    with pytest.raises(Exception, match="assert_true|is not true"):
+        write_outputs(frames, str(tmp_path / "out"))
+
+
 def test_materialised_leaves_nothing_behind(spark):
     frame = spark.range(10)
     with materialised(frame) as (kept, rows):
@@ -319,12 +326,23 @@ def test_new_folders_lie_in_the_shared_folder(spark):
         assert first.startswith(base)
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
-    class Session:
-        class conf:  # noqa: N801
-            @staticmethod
-            def get(key, default=None):
-                return {"spark.master": "yarn"}.get(key, default)
+def _session(spark, **settings):
+    """The session, but for its settings."""
+    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+    return SimpleNamespace(conf=conf, sparkContext=spark.sparkContext)
 
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        new_folder(Session, "x")
+        new_folder(_session(spark, **{"spark.master": "yarn"}), "x")
+
+
+def test_the_shared_folder_of_the_session_is_used(spark, tmp_path):
+    settings = {"spark.master": "yarn", "spark.checkpoint.dir": f"{tmp_path}/shared/"}
+    assert new_folder(_session(spark, **settings), "x").startswith(f"{tmp_path}/shared/gridmetrics/x-")
+
+
+def test_a_local_session_may_use_a_folder_of_its_own(spark):
+    session = _session(spark, **{"spark.master": "local[2]"})
+    paths = {new_folder(session, "x"), new_folder(session, "x")}
+    assert len(paths) == 2 and all(os.path.isdir(path) for path in paths)
