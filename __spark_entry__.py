@@ -5,9 +5,9 @@ questions (country = return flag, time = ship date, metrics = price and discount
 the hourly one (country = event type, metrics = value and the number in ``props``). All queries
 run over whole tables.
 
-Sums of doubles depend on the order in which tasks finish, unless the values are whole numbers. So the
-metrics are taken in hundredths, and means compare to the last bit. Only quartiles are rounded (six
-decimals): the interpolation formulas differ in the last bit.
+Sums of doubles depend on the order in which tasks finish, unless the values are whole numbers. So
+the metrics are taken in hundredths, and means compare to the last bit. Only quartiles are rounded
+(six decimals): the interpolation formulas differ in the last bit.
 """
 
 from __future__ import annotations

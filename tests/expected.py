@@ -140,7 +140,7 @@ EXACT_SUMMARY = {
     ),
 }
 
-# Minimum, quartiles and maximum of the hourly means, quartiles being means themselves.
+# Minimum, quartiles and maximum of the hourly means, quartiles not interpolated.
 APPROX_SUMMARY = {
     ("IT", "carbon-intensity"): (
         219.02932912107204,

@@ -339,7 +339,8 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark):
 
 def test_the_shared_folder_of_the_session_is_used(spark, tmp_path):
     settings = {"spark.master": "yarn", "spark.checkpoint.dir": f"{tmp_path}/shared/"}
-    assert new_folder(_session(spark, **settings), "x").startswith(f"{tmp_path}/shared/gridmetrics/x-")
+    path = new_folder(_session(spark, **settings), "x")
+    assert path.startswith(f"{tmp_path}/shared/gridmetrics/x-")
 
 
 def test_a_local_session_may_use_a_folder_of_its_own(spark):
