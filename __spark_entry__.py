@@ -56,6 +56,19 @@ from gridmetrics.sources import (
 from gridmetrics.variants import VARIANTS
 from gridmetrics.workspace import new_folder
 
+try:
+    import corpus_pipeline
+    from gridmetrics.llm import queries as llm_queries
+except ModuleNotFoundError as missing:  # the subpackage can be left out
+    if missing.name not in ("corpus_pipeline", "gridmetrics.llm"):
+        raise
+    LLM_QUERIES, LLM_ORACLE_SQL = {}, {}
+else:
+    LLM_QUERIES = {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    LLM_ORACLE_SQL = {**llm_queries.ORACLE_SQL}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        LLM_ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 DECIMALS = 6
 FLAGS = ("A", "N", "R")
 FLAG_CODES = {"A": "AA", "N": "NN"}
@@ -442,6 +455,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_json": key_json,
         "run_means": run_time_means,
         "run_comparison": run_time_comparison,
+        **LLM_QUERIES,
     }
 
 
@@ -662,4 +676,5 @@ WITH means AS (
 )
 SELECT *, (csv_avg - parquet_avg) / parquet_avg * 100 AS csv_over_parquet_percent FROM means
 """,
+        **LLM_ORACLE_SQL,
     }
