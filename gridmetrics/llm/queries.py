@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmetrics.llm.jaccard_join import jaccard_groups
 from gridmetrics.llm.packing import packed_documents
 from gridmetrics.llm.quality import quality_report
 from gridmetrics.llm.token_counts import token_counts
@@ -35,10 +36,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op4_packing": op4_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 _SPACES = r"[\x20\x09-\x0D]"
