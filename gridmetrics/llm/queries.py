@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridmetrics.llm.jaccard_join import jaccard_groups
 from gridmetrics.llm.packing import packed_documents
+from gridmetrics.llm.pivot_index import vector_groups
 from gridmetrics.llm.quality import quality_report
 from gridmetrics.llm.token_counts import token_counts
 
@@ -40,8 +41,13 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op3_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_groups(_table(spark, sf_dir, "embeddings"), similarity=0.98)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_pivot_index": op3_pivot_index,
     "op4_packing": op4_packing,
     "op7_quality_rules": op7_quality_rules,
     "op9_jaccard_join": op9_jaccard_join,
