@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmetrics.llm.jaccard_join import jaccard_groups
+from gridmetrics.llm.license_scan import license_scan
 from gridmetrics.llm.packing import packed_documents
 from gridmetrics.llm.pivot_index import vector_groups
 from gridmetrics.llm.quality import quality_report
+from gridmetrics.llm.secret_scan import secret_report
 from gridmetrics.llm.token_counts import token_counts
 
 TOKEN_LIMIT = 1024
@@ -32,6 +34,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS, CLOSING_ID, with_ids=False)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality_report(_table(spark, sf_dir, "documents"))
     return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -49,6 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_pivot_index": op3_pivot_index,
     "op4_packing": op4_packing,
+    "op5_license_scan": op5_license_scan,
+    "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
     "op9_jaccard_join": op9_jaccard_join,
 }
