@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmetrics.llm.jaccard_join import jaccard_groups
+from gridmetrics.llm.language import languages, sample_and_fit
 from gridmetrics.llm.license_scan import license_scan
 from gridmetrics.llm.packing import packed_documents
 from gridmetrics.llm.pivot_index import vector_groups
@@ -47,6 +48,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = sample_and_fit(docs, ~held_out)
+    return languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), words=3, percent=90)
 
@@ -62,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scan": op5_license_scan,
     "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
+    "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
 }
 
