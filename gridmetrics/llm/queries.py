@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridmetrics.llm.jaccard_join import jaccard_groups
 from gridmetrics.llm.language import languages, sample_and_fit
 from gridmetrics.llm.license_scan import license_scan
+from gridmetrics.llm.line_dedup import without_repeated_lines
 from gridmetrics.llm.packing import packed_documents
 from gridmetrics.llm.pivot_index import vector_groups
 from gridmetrics.llm.quality import quality_report
@@ -63,6 +64,11 @@ def op3_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_groups(_table(spark, sf_dir, "embeddings"), similarity=0.98)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeated_lines(docs, counts=("n_lines", "n_deleted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_pivot_index": op3_pivot_index,
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 _SPACES = r"[\x20\x09-\x0D]"
