@@ -13,6 +13,7 @@ from gridmetrics.llm.language import languages, sample_and_fit
 from gridmetrics.llm.license_scan import license_scan
 from gridmetrics.llm.line_dedup import without_repeated_lines
 from gridmetrics.llm.packing import packed_documents
+from gridmetrics.llm.piece_sampling import sampled_pieces
 from gridmetrics.llm.pivot_index import vector_groups
 from gridmetrics.llm.quality import quality_report
 from gridmetrics.llm.secret_scan import secret_report
@@ -60,6 +61,11 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return sampled_pieces(_table(spark, sf_dir, "documents"), path, draws=2, with_ids=False)
+
+
 def op3_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_groups(_table(spark, sf_dir, "embeddings"), similarity=0.98)
 
@@ -71,6 +77,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_sampled_pieces": op2_sampled_pieces,
     "op3_pivot_index": op3_pivot_index,
     "op4_packing": op4_packing,
     "op5_license_scan": op5_license_scan,
