@@ -10,8 +10,8 @@ import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = {name: query for name, query in contract.queries().items() if name not in contract.LLM_QUERIES}
+ORACLE = {name: sql for name, sql in contract.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
