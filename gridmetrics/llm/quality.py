@@ -155,7 +155,8 @@ def quality_cascade(docs: DataFrame, rules: list[Rule] | None = None, text_colum
     rules = default_rules() if rules is None else rules
     sample = with_words(docs.select(F.col(text_column).alias("text")).limit(sample_rows))
     rules = ordered(sample, rules)
-    return with_words(docs, text_column).withColumn(name, first_failed(rules)).drop(TEXT, WORDS)
+    # As a generator's column the verdict is evaluated once; as a plain one, a filter on it would copy its whole expression.
+    return with_words(docs, text_column).withColumn(name, F.explode(F.array(first_failed(rules)))).drop(TEXT, WORDS)
 
 
 def quality_report(docs: DataFrame, rules: list[Rule] | None = None, id_column: str = "doc_id", text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
