@@ -1,10 +1,15 @@
 """Documents linked by the Jaccard similarity of their word shingles, found with parity sketches.
 
-A sketch has one bit for each hashed shingle to flip. Two sketches differ in at most as many bits as
-the sets differ in members, so their Hamming distance is a lower bound of the symmetric difference.
-Sets of a size band that reach the similarity differ in at most d members; a sketch of d + 1 words
-therefore has a word that is equal in both (pigeonhole), and documents are joined on the words. A set
-near the upper edge of its band also has a sketch for the next band. Nothing is missed.
+A sketch has a bit for each hash of a shingle, which the shingle flips. Two sketches differ in at most
+as many bits as the sets differ in members, so their Hamming distance is a lower bound of the symmetric
+difference. Sets of a size band that reach the similarity differ in at most d members; cut into d + 1
+words, their sketches have a word that is equal in both (pigeonhole), and documents are joined on the
+words. A word is far too long to be written out; it is held as the XOR of the codes of the bits set.
+A set near the upper edge of its band also has a sketch for the next band.
+
+A word without any member says nothing. Two linked sets that agree only in such a word differ by exactly
+one member in every other; instead of the empty word they are joined on the word that follows it, as it
+is and without each of its members. Nothing is missed.
 
 Equal sets are one class before sketches are joined. What is joined gives families: components of
 "shares a word". Links are verified inside families by the sets themselves, in blocks, without writing
@@ -91,11 +96,16 @@ class Bands:
         keys = []
         for band in range(first, last + 1):
             words = self.words(band)
-            place = (members >> np.uint64(6)) % np.uint64(words)
-            sketch = np.zeros(words, np.uint64)
-            np.bitwise_xor.at(sketch, place.astype(np.int64), np.uint64(1) << (members & np.uint64(63)))
-            seed = np.arange(words, dtype=np.uint64) + np.uint64((band + 1) << 40)
-            keys.append(mixed(mixed(seed * np.uint64(_STEP)) ^ sketch))
+            place = (members % np.uint64(words)).astype(np.int64)
+            codes = mixed(members + np.uint64(_STEP))
+            sketch, counts = np.zeros(words, np.uint64), np.bincount(place, minlength=words)
+            np.bitwise_xor.at(sketch, place, codes)
+            seeds = mixed((np.arange(2 * words, dtype=np.uint64) + np.uint64((band + 1) << 40)) * np.uint64(_STEP))
+            keys.append(mixed(seeds[:words] ^ sketch)[counts > 0])
+            for empty in np.flatnonzero(counts == 0):
+                after = (empty + 1) % words
+                nearby = sketch[after] ^ np.append(codes[place == after], np.uint64(0))
+                keys.append(mixed(seeds[words + empty] ^ nearby))
         return np.concatenate(keys).view(np.int64)
 
 

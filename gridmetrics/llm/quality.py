@@ -19,10 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmetrics.llm.storage import checkpointed
-
 #: Rows of the sample on which rules are timed. It decides their order only.
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 500
 
 #: What separates words, and the characters that count as symbols.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -124,9 +122,12 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def ordered(sample: DataFrame, rules: list[Rule]) -> list[Rule]:
-    """``rules`` by rejection per cost on a sample that :func:`with_words` was applied to."""
-    sample = checkpointed(sample.select(TEXT, WORDS))
+def ordered(texts: DataFrame, rules: list[Rule], sample_rows: int) -> list[Rule]:
+    """``rules`` by rejection per cost on the first rows of a column ``text``; few partitions are read for them."""
+    rows = texts.select("text").take(sample_rows)
+    if not rows:
+        return rules
+    sample = with_words(texts.sparkSession.createDataFrame(rows, "text string")).select(TEXT, WORDS)
 
     def run(condition: Column) -> tuple[float, int]:
         began = time.perf_counter()
@@ -153,8 +154,7 @@ def first_failed(rules: list[Rule]) -> Column:
 def quality_cascade(docs: DataFrame, rules: list[Rule] | None = None, text_column: str = "text", sample_rows: int = SAMPLE_ROWS, name: str = "failed_rule") -> DataFrame:
     """``docs`` with the rule that rejects each row, null for those that all rules keep."""
     rules = default_rules() if rules is None else rules
-    sample = with_words(docs.select(F.col(text_column).alias("text")).limit(sample_rows))
-    rules = ordered(sample, rules)
+    rules = ordered(docs.select(F.col(text_column).alias("text")), rules, sample_rows)
     # As a generator's column the verdict is evaluated once; as a plain one, a filter on it would copy its whole expression.
     return with_words(docs, text_column).withColumn(name, F.explode(F.array(first_failed(rules)))).drop(TEXT, WORDS)
 
@@ -163,7 +163,7 @@ def quality_report(docs: DataFrame, rules: list[Rule] | None = None, id_column:
     """Per row the id, the counts, ``base_failed`` (too short or half repeated), ``kept`` and ``failed_rule``."""
     rules = default_rules() if rules is None else rules
     source = with_words(docs.select(F.col(id_column), F.col(text_column).alias("text")))
-    rules = ordered(source.limit(sample_rows), [r for r in rules if r.name not in ("too_short", "repeated_words")])
+    rules = ordered(docs.select(F.col(text_column).alias("text")), [r for r in rules if r.name not in ("too_short", "repeated_words")], sample_rows)
     counted = source.select(
         id_column,
         TEXT,
