@@ -7,9 +7,10 @@ words, their sketches have a word that is equal in both (pigeonhole), and docume
 words. A word is far too long to be written out; it is held as the XOR of the codes of the bits set.
 A set near the upper edge of its band also has a sketch for the next band.
 
-A word without any member says nothing. Two linked sets that agree only in such a word differ by exactly
-one member in every other; instead of the empty word they are joined on the word that follows it, as it
-is and without each of its members. Nothing is missed.
+A word without any member says nothing and is left out. A linked pair that agrees only in such words
+would be missed; for each band the chance of that is computed for the worst pair, and as many sketches
+by independent hashes are taken as bring it below ``MISSED``, which is small beside that of two shingles
+with one hash. Long texts need one sketch.
 
 Equal sets are one class before sketches are joined. What is joined gives families: components of
 "shares a word". Links are verified inside families by the sets themselves, in blocks, without writing
@@ -24,7 +25,8 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import floor, log
+from functools import lru_cache
+from math import ceil, floor, log
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,8 @@ from gridmetrics.llm.storage import checkpointed
 KEPT_WORDS = 250_000
 #: Upper over lower end of a size band.
 BAND = 1.5
+#: Largest chance that sketches miss a linked pair.
+MISSED = 1e-12
 #: Documents of a family that are verified together.
 BLOCK = 256
 
@@ -87,8 +91,23 @@ class Bands:
         largest = int(BAND ** (band + 1)) + 1
         return 2 * largest * (100 - self.percent) // (100 + self.percent) + 1
 
+    @lru_cache(maxsize=None)  # noqa: B019
+    def sketches(self, band: int) -> int:
+        """Independent sketches, so that some word with members is equal in nearly every linked pair."""
+        words = self.words(band)
+        if words == 1 or words > 200:
+            return 1
+        chances = np.zeros(words + 1)  # of so many words touched by as many differences as a linked pair can have
+        chances[0] = 1
+        touched = np.arange(words + 1)
+        for _ in range(words - 1):
+            chances = chances * touched / words + np.concatenate([[0], (chances * (words - touched) / words)[:-1]])
+        empty = (1 - 1 / words) ** (BAND**band * self.percent / 100)
+        missed = float((chances * empty ** (words - touched)).sum())
+        return ceil(log(MISSED) / log(missed))
+
     def keys(self, members: np.ndarray) -> np.ndarray:
-        """Hashes of band, place and word of the sketches of one set."""
+        """Hashes of band, sketch, place and word of one set."""
         size = len(members)
         if not size:
             return np.empty(0, np.int64)
@@ -96,16 +115,13 @@ class Bands:
         keys = []
         for band in range(first, last + 1):
             words = self.words(band)
-            place = (members % np.uint64(words)).astype(np.int64)
-            codes = mixed(members + np.uint64(_STEP))
-            sketch, counts = np.zeros(words, np.uint64), np.bincount(place, minlength=words)
-            np.bitwise_xor.at(sketch, place, codes)
-            seeds = mixed((np.arange(2 * words, dtype=np.uint64) + np.uint64((band + 1) << 40)) * np.uint64(_STEP))
-            keys.append(mixed(seeds[:words] ^ sketch)[counts > 0])
-            for empty in np.flatnonzero(counts == 0):
-                after = (empty + 1) % words
-                nearby = sketch[after] ^ np.append(codes[place == after], np.uint64(0))
-                keys.append(mixed(seeds[words + empty] ^ nearby))
+            for number in range(self.sketches(band)):
+                codes = mixed(members + np.uint64((number + 1) * _STEP % 2**64))
+                place = (codes % np.uint64(words)).astype(np.int64)
+                sketch, counts = np.zeros(words, np.uint64), np.bincount(place, minlength=words)
+                np.bitwise_xor.at(sketch, place, mixed(codes))
+                seeds = mixed((np.arange(words, dtype=np.uint64) + np.uint64((band * 64 + number + 1) << 34)) * np.uint64(_STEP))
+                keys.append(mixed(seeds ^ sketch)[counts > 0])
         return np.concatenate(keys).view(np.int64)
 
 
