@@ -13,8 +13,10 @@ by independent hashes are taken as bring it below ``MISSED``, which is small bes
 with one hash. Long texts need one sketch.
 
 Equal sets are one class before sketches are joined. What is joined gives families: components of
-"shares a word". Links are verified inside families by the sets themselves, in blocks, without writing
-pairs, and each task keeps only what connects documents not yet connected there.
+"shares a word". Inside families, in blocks and without writing pairs, short sketches written out in
+bits are compared: what lies farther apart than linked sets can is no link. That splits families that
+only a common passage held together. What is left is verified by the sets themselves in the same way.
+Each task keeps only what connects documents not yet connected there.
 
 Shingles and words are compared by 64-bit hashes. Null or empty text, or text without words, has an
 empty set and links with nothing; fewer words than a shingle has are one shingle. Repeated rows of a
@@ -45,8 +47,8 @@ KEPT_WORDS = 250_000
 BAND = 1.5
 #: Largest chance that sketches miss a linked pair.
 MISSED = 1e-12
-#: Documents of a family that are verified together.
-BLOCK = 256
+#: Documents of a family that are compared and that are verified together.
+SKETCH_BLOCK, BLOCK = 1024, 256
 
 #: Fixed multipliers of a 64-bit mixing function.
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -125,6 +127,18 @@ class Bands:
         return np.concatenate(keys).view(np.int64)
 
 
+    def bits(self, members: np.ndarray) -> list[dict]:
+        """For each band of a set, its parity sketch in as many bits as tell unrelated sets apart."""
+        size, found = len(members), []
+        if size:
+            codes = mixed(members ^ np.uint64(_STEP))
+            for band in range(self.of(size), self.of(max(size, size * 100 // self.percent + 1)) + 1):
+                length = 64 * ceil(4 * self.words(band) / 64)
+                odd = np.bincount((codes % np.uint64(length)).astype(np.int64), minlength=length) & 1
+                found.append({"band": band, "bits": np.packbits(odd.astype(bool)).tobytes()})
+        return found
+
+
 class Forest:
     """Union-find over positions."""
 
@@ -180,24 +194,26 @@ def jaccard_groups(docs: DataFrame, words: int, percent: int, id_column: str = "
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
 
     def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, prints, keys = [], [], []
+        sizes, prints, keys, bits = [], [], [], []
         for value in batch.column(1):
             members = shingle_set(value.as_py(), words)
             sizes.append(len(members))
             prints.append(xxhash.xxh3_128_digest(members.tobytes()) if len(members) else None)
             keys.append(bands.keys(members))
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-            ["id", "n_shingles", "print", "keys"],
-        )
+            bits.append(bands.bits(members))
+        kind = pa.list_(pa.struct([("band", pa.int32()), ("bits", pa.binary())]))
+        columns = [pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, kind)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n_shingles", "print", "keys", "sketches"])
 
-    rows = checkpointed(map_batches(source, sketch, "id long, n_shingles long, print binary, keys array<long>"))
+    schema = "id long, n_shingles long, print binary, keys array<long>, sketches array<struct<band: int, bits: binary>>"
+    rows = checkpointed(map_batches(source, sketch, schema))
     classes = rows.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("rep"))
     firsts = rows.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     keys = firsts.select("id", F.explode("keys").alias("key"))
     first = F.min("id").over(Window.partitionBy("key").orderBy("id"))
     shared = keys.select(F.col("id").alias("a"), first.alias("b")).where("a <> b").distinct()
     families = checkpointed(components(shared))
+    families = checkpointed(components(_near(rows, families, percent)))
     links = _verified(source, families, words, percent)
     groups = components(links).withColumnRenamed("id", "rep")
     named = classes.join(groups, "rep", "left").select("print", F.coalesce("component", "rep").alias("component_id"))
@@ -209,15 +225,45 @@ def jaccard_groups(docs: DataFrame, words: int, percent: int, id_column: str = "
     )
 
 
-def _verified(source: DataFrame, families: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (``a``, ``b``) that connect what is linked inside the families."""
+def _blocks(families: DataFrame, block: int) -> DataFrame:
+    """``id``, ``family``, ``block`` and ``pairs``, the pairs of blocks that the document is compared in."""
     members = families.select("id", F.col("component").alias("family"))
     sizes = members.groupBy("family").agg(F.count("*").alias("n"))
-    members = members.join(sizes, "family").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
+    members = members.join(sizes, "family").withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int"))
     members = members.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    texts = source.join(members, "id").dropDuplicates(["id"])
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.least("block", b).alias("p"), F.greatest("block", b).alias("q")))
-    spread = texts.select("id", "text", "family", "block", F.explode(others).alias("pair")).select("*", "pair.p", "pair.q").drop("pair")
+    return members.select("id", "family", "block", others.alias("pairs"))
+
+
+def _near(rows: DataFrame, families: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``a``, ``b``) that connect, inside families, the sets whose sketches are as near as those of linked sets."""
+    sketches = rows.join(_blocks(families, SKETCH_BLOCK), "id").dropDuplicates(["id"])
+    sketches = sketches.select("id", "n_shingles", "family", "block", "pairs", F.explode("sketches").alias("sketch"))
+    spread = sketches.select("id", "n_shingles", "family", "block", "sketch.*", F.explode("pairs").alias("pair")).select("*", "pair.*").drop("pair")
+
+    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        *_, p, q = key
+        group = group.sort_values(["block", "id"])
+        ids, sizes, block = (group[name].to_numpy() for name in ("id", "n_shingles", "block"))
+        bits = np.frombuffer(b"".join(group["bits"]), np.uint64).reshape(len(group), -1)
+        forest, found = Forest(len(ids)), []
+        for at in np.flatnonzero(block == p):
+            others = np.flatnonzero(block == q) if p != q else np.arange(at + 1, len(ids))
+            apart = np.bitwise_count(bits[others] ^ bits[at]).sum(axis=1, dtype=np.int64)
+            both = sizes[others] + sizes[at]
+            near = (apart * (100 + percent) <= both * (100 - percent)) & (100 * np.minimum(sizes[others], sizes[at]) >= percent * np.maximum(sizes[others], sizes[at]))
+            found += [(ids[at], ids[other]) for other in others[near] if forest.join(at, other)]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    bound_batches(spread)
+    return spread.groupBy("family", "band", "p", "q").applyInPandas(compare, "a long, b long")
+
+
+def _verified(source: DataFrame, families: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) that connect what is linked inside the families."""
+    members = _blocks(families, BLOCK)
+    texts = source.join(members, "id").dropDuplicates(["id"])
+    spread = texts.select("id", "text", "family", "block", F.explode("pairs").alias("pair")).select("*", "pair.*").drop("pair")
 
     def verify(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         _, p, q = key
