@@ -41,10 +41,17 @@ from gridmetrics.operators import (
 from gridmetrics.operators.rank import ranking_orders
 from gridmetrics.plans.questions import HOURLY_KEYS, YEARLY_KEYS
 from gridmetrics.schema import COUNTRY, CSV_HEADER, EVENT_TIME, HOUR, MONTH, TOP_K, YEAR
-from gridmetrics.sinks import materialised, to_key_json, write_csv, write_outputs
+from gridmetrics.sinks import (
+    append_run,
+    materialised,
+    read_runs,
+    to_key_json,
+    write_csv,
+    write_outputs,
+)
 from gridmetrics.sinks.writers import TIME_OUTPUT
 from gridmetrics.sources import (
-    country_folder,
+    read_countries,
     read_energy,
     read_lines,
     register_energy,
@@ -53,7 +60,6 @@ from gridmetrics.sources import (
     write_both_formats,
     write_energy,
 )
-from gridmetrics.variants import VARIANTS
 from gridmetrics.workspace import new_folder
 
 try:
@@ -70,7 +76,6 @@ else:
         LLM_ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 DECIMALS = 6
-FLAGS = ("A", "N", "R")
 FLAG_CODES = {"A": "AA", "N": "NN"}
 
 
@@ -100,11 +105,24 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STAGED: dict[tuple, str] = {}
+
+
+def _staged(spark: SparkSession, name: str, sf_dir: str, write: Callable[[str], None]) -> str:
+    """A copy that several queries read, written once per application and folder of tables."""
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    if key not in _STAGED:
+        path = new_folder(spark, name)
+        write(path)
+        _STAGED[key] = path
+    return _STAGED[key]
+
+
 def _shipment_files(spark: SparkSession, sf_dir: str, fmt: str, by_country: bool = False) -> str:
     """The stand-in energy table, written with text times as the real input comes."""
-    path = new_folder(spark, f"shipments-{fmt}")
-    write_energy(to_energy_table(_shipments(spark, sf_dir)), path, fmt, by_country)
-    return path
+    table = to_energy_table(_shipments(spark, sf_dir))
+    name = f"shipments-{fmt}" + "-by-country" * by_country
+    return _staged(spark, name, sf_dir, lambda path: write_energy(table, path, fmt, by_country))
 
 
 def _quartiles_rounded(summary: DataFrame) -> DataFrame:
@@ -112,10 +130,6 @@ def _quartiles_rounded(summary: DataFrame) -> DataFrame:
     return summary.withColumns({name: F.round(name, DECIMALS) for name in marks})
 
 
-def _whole_seconds(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(column, time_text(F.col(column)).cast("timestamp_ntz"))
-
-
 # Yearly statistics
 
 
@@ -135,10 +149,10 @@ def yearly_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def yearly_fold_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accumulators of an earlier and a later load, combined."""
     rows = with_parts(_shipments(spark, sf_dir), "year")
-    time, border = F.col(EVENT_TIME), F.lit("1998-07-01").cast("timestamp_ntz")
-    loads = [rows.filter(time < border), rows.filter((time >= border) | time.isNull())]
-    folds = [fold(load, YEARLY_KEYS) for load in loads]
-    return finish_fold(merge_folds(*folds, keys=YEARLY_KEYS), YEARLY_KEYS)
+    early = F.col(EVENT_TIME) < F.lit("1998-07-01").cast("timestamp_ntz")
+    rows = rows.withColumn("load", F.when(early, F.lit("earlier")).otherwise(F.lit("later")))
+    loads = fold(rows, ["load", *YEARLY_KEYS]).drop("load")
+    return finish_fold(merge_folds(loads, keys=YEARLY_KEYS), YEARLY_KEYS)
 
 
 # Monthly means and rankings
@@ -187,9 +201,7 @@ def rankings_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four rankings, written to a folder each and read back."""
     with materialised(monthly_means_sql(spark, sf_dir)) as (monthly, _):
         folder = new_folder(spark, "rankings")
-        paths = write_outputs(
-            rankings(monthly), folder, order_by=ranking_orders(), row_bound=TOP_K
-        )
+        paths = write_outputs(rankings(monthly), folder, True, ranking_orders())
     schema = (
         f"{YEAR} int, {MONTH} int, avg_carbon_intensity double, avg_cfe_percentage double"
     )
@@ -209,8 +221,7 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = _whole_seconds(_profile(spark, sf_dir), "hour_timestamp")
-    return profile.orderBy(*HOURLY_KEYS)
+    return _profile(spark, sf_dir).orderBy(*HOURLY_KEYS)
 
 
 def hourly_profile_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +241,7 @@ def _summary(method: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def five_number_sorted_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quartiles_rounded(
-        five_number(plans.hourly_fold(_events(spark, sf_dir)), method="sorted_list")
+        five_number(plans.hourly_fold(_events(spark, sf_dir)), method="exact")
     )
 
 
@@ -271,11 +282,20 @@ def written_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def country_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return of_country(_events(spark, sf_dir), "click")
+    stored = _table(spark, sf_dir, "events").select(
+        F.col("event_type").alias(COUNTRY),
+        F.col("ts").alias(EVENT_TIME),
+        F.col("value").alias("CarbonDirect"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("CFEpercent"),
+    )
+    return of_country(stored, "click")
 
 
 def canonical_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = canonical_country(_shipments(spark, sf_dir), FLAG_CODES)
+    stored = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias(COUNTRY), F.col("l_extendedprice").alias("CarbonDirect")
+    )
+    rows = canonical_country(stored, FLAG_CODES)
     return rows.groupBy(COUNTRY).agg(
         F.count("*").alias("hours"), F.max("CarbonDirect").alias("max_carbon_intensity")
     )
@@ -304,7 +324,7 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A copy whose times are parsed once, at ingest."""
     path = new_folder(spark, "shipments-typed")
-    write_energy(to_energy_table(_shipments(spark, sf_dir)), path, by_country=True, typed=True)
+    write_energy(to_energy_table(_shipments(spark, sf_dir)), path, typed=True)
     return plans.yearly_stats(read_energy(spark, path, typed=True))
 
 
@@ -324,10 +344,15 @@ def both_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def country_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One folder per country; each is read by its path, then all are put together."""
+    """One folder per country, found and read from their common folder."""
     path = _shipment_files(spark, sf_dir, "csv", by_country=True)
-    countries = [read_energy(spark, country_folder(path, flag), "csv") for flag in FLAGS]
-    return plans.yearly_stats(union_sources(*countries))
+    return plans.yearly_stats(read_countries(spark, path, "csv"))
+
+
+def monthly_country_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly question for one country, from its folder alone."""
+    path = _shipment_files(spark, sf_dir, "csv", by_country=True)
+    return plans.monthly_means(with_event_time(read_countries(spark, path, "csv", country="A")))
 
 
 def result_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,9 +366,8 @@ def result_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_files(spark: SparkSession, sf_dir: str, fmt: str) -> str:
-    path = new_folder(spark, f"events-{fmt}")
-    write_energy(to_energy_table(_events(spark, sf_dir)), path, fmt)
-    return path
+    table = to_energy_table(_events(spark, sf_dir))
+    return _staged(spark, f"events-{fmt}", sf_dir, lambda path: write_energy(table, path, fmt))
 
 
 def yearly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -380,6 +404,38 @@ def hourly_profile_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.csv(paths["hourly"], header=True)
 
 
+def yearly_sql_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL form of the yearly question, from Parquet files to the result file, read back."""
+    source = _shipment_files(spark, sf_dir, "parquet")
+    paths = jobs.run(spark, 5, source, new_folder(spark, "yearly-sql-job"))
+    return spark.read.csv(paths["stats"], yearly_stats(spark, sf_dir).schema, header=True)
+
+
+def monthly_sql_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL form of the monthly question; the months of the highest price, read back."""
+    source = _shipment_files(spark, sf_dir, "parquet")
+    paths = jobs.run(spark, 6, source, new_folder(spark, "monthly-sql-job"), country="A")
+    columns = top5_price_sql(spark, sf_dir).schema
+    return spark.read.csv(paths["carbon_intensity_desc"], columns, header=True)
+
+
+def hourly_sql_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL form of the hourly question; the summary, read back."""
+    source = _event_files(spark, sf_dir, "parquet")
+    paths = jobs.run(spark, 7, source, new_folder(spark, "hourly-sql-job"))
+    columns = five_number_exact_sql(spark, sf_dir).schema
+    return _quartiles_rounded(spark.read.csv(paths["summary"], columns, header=True))
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest time of each of four queries, appended run by run and read back."""
+    path = new_folder(spark, "runs")
+    longest = _runs(spark, sf_dir).where("query <= 4").groupBy("query").agg(F.max("tempo_totale"))
+    for query, seconds in longest.collect():
+        append_run(spark, path, query, query + 1, seconds / 7)
+    return read_runs(spark, path)
+
+
 def key_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As decimals, because engines write doubles in different notations."""
     stats = yearly_stats(spark, sf_dir)
@@ -447,11 +503,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "typed_roundtrip": typed_roundtrip,
         "both_formats": both_formats,
         "country_file_scan": country_file_scan,
+        "monthly_country_files": monthly_country_files,
         "result_file": result_file,
         "yearly_job": yearly_job,
         "monthly_job": monthly_job,
         "hourly_job": hourly_job,
         "hourly_profile_job": hourly_profile_job,
+        "yearly_sql_job": yearly_sql_job,
+        "monthly_sql_job": monthly_sql_job,
+        "hourly_sql_job": hourly_sql_job,
+        "run_log": run_log,
         "key_json": key_json,
         "run_means": run_time_means,
         "run_comparison": run_time_comparison,
@@ -552,8 +613,26 @@ def _ranked_all(monthly: str) -> str:
     )
 
 
-def _run_names() -> str:
-    return ", ".join(f"({number}, '{variant.name}')" for number, variant in VARIANTS.items())
+# The names of the runs.
+_RUN_NAMES = """
+    (1, 'Query_1_DF_Parquet'),
+    (2, 'Query_2_DF_Parquet'),
+    (3, 'Query_3_DF_Approx_Parquet'),
+    (4, 'Query_3_DF_Exact_Parquet'),
+    (5, 'Query_1_SQL_Parquet'),
+    (6, 'Query_2_SQL_Parquet'),
+    (7, 'Query_3_SQL_Parquet'),
+    (8, 'Query_1_RDD'),
+    (9, 'Query_2_RDD'),
+    (10, 'Query_3_RDD'),
+    (11, 'Query_1_DF_CSV'),
+    (12, 'Query_2_DF_CSV'),
+    (13, 'Query_3_DF_Approx_CSV'),
+    (14, 'Query_3_DF_Exact_CSV'),
+    (15, 'Query_1_SQL_CSV'),
+    (16, 'Query_2_SQL_CSV'),
+    (17, 'Query_3_SQL_CSV')
+"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -574,7 +653,7 @@ def oracle_sql() -> dict[str, str]:
         "ranking_board": _ranked_all(_MONTHLY_TIMED),
         "ranking_board_sql": _ranked_all(_MONTHLY_PLAIN),
         "rankings_written": _ranked_all(_MONTHLY_PLAIN),
-        "hourly_profile": _PROFILE,
+        "hourly_profile": _PROFILE.replace("date_trunc('second', ts)", "ts"),
         "hourly_profile_sql": _PROFILE_UNTIMED,
         "hourly_fold": _PROFILE_UNTIMED,
         "five_number_exact": _SUMMARY_EXACT,
@@ -606,15 +685,15 @@ FROM events
 GROUP BY 1, 2, 3
 """,
         "country_filter": """
-SELECT event_type AS Country, ts AS event_time, round(value * 100) AS "CarbonDirect",
+SELECT event_type AS Country, ts AS event_time, value AS "CarbonDirect",
        TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS "CFEpercent"
 FROM events
 WHERE event_type = 'click'
 """,
         "canonical_labels": f"""
 SELECT CASE l_returnflag WHEN 'A' THEN 'AA' WHEN 'N' THEN 'NN' ELSE l_returnflag END AS Country,
-       count(*) AS hours, max(price) AS max_carbon_intensity
-FROM {_SHIPMENTS}
+       count(*) AS hours, max(l_extendedprice) AS max_carbon_intensity
+FROM lineitem
 GROUP BY 1
 """,
         "parse_lines": f"""
@@ -641,6 +720,7 @@ FROM {_SHIPMENTS} CROSS JOIN (VALUES ('parquet'), ('csv')) AS formats(format)
 GROUP BY format, l_returnflag
 """,
         "country_file_scan": _YEARLY,
+        "monthly_country_files": _MONTHLY_TIMED,
         "result_file": f"""
 SELECT * RENAME (Country AS country, record_year AS year) FROM ({_YEARLY})
 """,
@@ -648,6 +728,13 @@ SELECT * RENAME (Country AS country, record_year AS year) FROM ({_YEARLY})
         "monthly_job": _MONTHLY_TIMED,
         "hourly_job": _SUMMARY_EXACT,
         "hourly_profile_job": _PROFILE,
+        "yearly_sql_job": _YEARLY,
+        "monthly_sql_job": _ranked(_MONTHLY_PLAIN, "carbon_intensity", "desc"),
+        "hourly_sql_job": _SUMMARY_EXACT,
+        "run_log": f"""
+SELECT query, query + 1 AS workers_number, round(max(t) / 7, 6) AS tempo_totale
+FROM ({_RUNS}) WHERE query <= 4 GROUP BY query
+""",
         "key_json": f"""
 SELECT 'yearly:' || Country || ':' || record_year AS key,
        CAST(to_json({{
@@ -662,7 +749,7 @@ FROM ({_YEARLY})
 """,
         "run_means": f"""
 SELECT query, query_name, workers_number, avg(t) AS tempo_totale
-FROM ({_RUNS}) LEFT JOIN (VALUES {_run_names()}) AS names(query, query_name) USING (query)
+FROM ({_RUNS}) LEFT JOIN (VALUES {_RUN_NAMES}) AS names(query, query_name) USING (query)
 GROUP BY query, query_name, workers_number
 """,
         "run_comparison": f"""

@@ -15,6 +15,11 @@ def canonical_country(df: DataFrame, codes: Mapping[str, str] = COUNTRY_CODES) -
     return df.replace(dict(codes), subset=[COUNTRY])
 
 
+def labels_of(code: str, codes: Mapping[str, str] = COUNTRY_CODES) -> list[str]:
+    """All labels of a country."""
+    return [code, *(name for name, short in codes.items() if short == code)]
+
+
 def of_country(
     df: DataFrame, code: str, codes: Mapping[str, str] = COUNTRY_CODES
 ) -> DataFrame:
@@ -23,5 +28,4 @@ def of_country(
     Apply it before ``canonical_country``: it compares the stored column, so the scan can skip
     row groups that hold other countries.
     """
-    labels = [code, *(name for name, short in codes.items() if short == code)]
-    return df.filter(F.col(COUNTRY).isin(labels))
+    return df.filter(F.col(COUNTRY).isin(labels_of(code, codes)))

@@ -5,24 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmetrics.functions.timeparts import event_time
-from gridmetrics.schema import COUNTRY, EVENT_TIME, METRICS
+from gridmetrics.functions.timeparts import with_event_time
+from gridmetrics.schema import ENERGY_SCHEMA
+
+_FIELDS = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in ENERGY_SCHEMA)
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Split comma-separated lines into country, event time and metrics.
+    """Comma-separated lines as country, event time and metrics, read as the CSV reader does.
 
-    A missing or unreadable field is NULL, as with the CSV reader; a bad line never fails the job.
-    The split is a column of its own: written into each expression it would be done once per
-    field and line.
+    Quotes are understood; a missing, empty or unreadable field is NULL, and a bad line never fails
+    the job.
     """
-    split = lines.select(F.split(F.col(column), ",").alias("fields"))
-    field = [F.get("fields", F.lit(i)) for i in range(2 + len(METRICS))]
-    return split.select(
-        field[0].alias(COUNTRY),
-        event_time(field[1]).alias(EVENT_TIME),
-        *(
-            text.try_cast("double").alias(metric.column)
-            for text, metric in zip(field[2:], METRICS, strict=True)
-        ),
-    )
+    fields = lines.select(F.from_csv(column, _FIELDS).alias("fields"))
+    return with_event_time(fields.select("fields.*"))

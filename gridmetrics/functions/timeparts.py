@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, TimestampType
 
 from gridmetrics.schema import EVENT_TIME, HOUR, MONTH, TIME_FORMAT, YEAR
 
@@ -26,7 +26,9 @@ def event_time(text: Column, time_format: str = TIME_FORMAT) -> Column:
     """
     if time_format == TIME_FORMAT:
         return F.when(text.rlike(_TIME_PATTERN), text.try_cast("timestamp_ntz"))
-    return F.try_to_timestamp(text, F.lit(time_format)).cast("timestamp_ntz")
+    # A zoned parser would move times that the session zone skips. The sign that separates fields is one no text holds.
+    options = {"timestampNTZFormat": time_format, "sep": "\u0001", "quote": "", "escape": ""}
+    return F.from_csv(text, "time timestamp_ntz", options)["time"]
 
 
 def time_fields(text: Column) -> Column:
@@ -40,15 +42,24 @@ def time_fields(text: Column) -> Column:
 
 
 def time_text(time: Column) -> Column:
-    """A timestamp as text in the standard format, fractions of a second cut off."""
-    return F.substring(time.cast("string"), 1, len(TIME_FORMAT))
+    """A zone-less time as text in the standard format, which has whole seconds: fractions go."""
+    return F.regexp_replace(time.cast("string"), r"\.\d+\z", "")
+
+
+def utc_time(time: Column) -> Column:
+    """The UTC wall clock of a zoned time, whatever the session zone."""
+    seconds = (F.unix_micros(time).cast("decimal(24, 0)") / F.lit(1_000_000)).cast("decimal(18, 6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def with_event_time(
     df: DataFrame, column: str = EVENT_TIME, time_format: str = TIME_FORMAT
 ) -> DataFrame:
-    """Parse the time column in place; a column that already holds times stays as it is."""
-    if not isinstance(df.schema[column].dataType, StringType):
+    """Parse the time column in place; zone-less times stay as they are, zoned ones become UTC."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, TimestampType):
+        return df.withColumn(column, utc_time(F.col(column)))
+    if not isinstance(kind, StringType):
         return df
     return df.withColumn(column, event_time(F.col(column), time_format))
 

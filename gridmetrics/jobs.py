@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import argparse
 import time
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,10 +26,9 @@ from gridmetrics.plans import (
     yearly_stats,
     yearly_stats_sql,
 )
-from gridmetrics.schema import COUNTRY, HOUR, METRICS, MONTH, MONTH_TIMESTAMP, YEAR
+from gridmetrics.schema import COUNTRY, HOUR, MONTH, MONTH_TIMESTAMP, YEAR
 from gridmetrics.session import energy_session
 from gridmetrics.sinks import append_run, materialised, write_outputs
-from gridmetrics.sinks.writers import together
 from gridmetrics.sources import read_energy, read_lines, register_energy
 from gridmetrics.variants import VARIANTS, Variant
 
@@ -47,6 +48,28 @@ _GROUPED = {
 }
 
 
+_VIEWS = "gridmetrics_job_"
+
+
+def _view(df: DataFrame) -> str:
+    """A view under a name that no user has; see ``own_views``."""
+    name = f"{_VIEWS}{uuid.uuid4().hex}"
+    register_energy(df, name)
+    return name
+
+
+@contextmanager
+def own_views(spark: SparkSession) -> Iterator[None]:
+    """Drop the views made inside."""
+    before = {table.name for table in spark.catalog.listTables() if table.isTemporary}
+    try:
+        yield
+    finally:
+        for table in spark.catalog.listTables():
+            if table.name.startswith(_VIEWS) and table.name not in before:
+                spark.catalog.dropTempView(table.name)
+
+
 def load(
     spark: SparkSession, source: str | Sequence[str], variant: Variant, country: str | None = None
 ) -> DataFrame:
@@ -63,8 +86,7 @@ def load(
 def grouped(spark: SparkSession, energy: DataFrame, variant: Variant) -> DataFrame:
     build = _GROUPED[variant.question, variant.form]
     if variant.form == "sql":
-        register_energy(energy)
-        return build(spark, "energy_data")
+        return build(spark, _view(energy))
     return build(energy)
 
 
@@ -74,16 +96,13 @@ def results(spark: SparkSession, table: DataFrame, variant: Variant) -> dict[str
         return {"stats": table}
     if variant.question == "monthly":
         if variant.form == "sql":
-            register_energy(table, "monthly_means")
-            return rankings_sql(spark, "monthly_means")
+            return rankings_sql(spark, _view(table))
         series = {"timeseries": table} if MONTH_TIMESTAMP in table.columns else {}
         return rankings(table) | series
     if variant.form == "sql":
-        register_energy(table, "hourly_profile")
-        summary = profile_summary_sql(spark, "hourly_profile")
+        summary = profile_summary_sql(spark, _view(table))
     else:
-        method = "sorted_list" if variant.form == "lines" else variant.method
-        summary = five_number(table, method=method)
+        summary = five_number(table, method=variant.method)
     return {"summary": summary, "hourly": table}
 
 
@@ -105,25 +124,23 @@ def run(
     target: str,
     workers: int = 1,
     run_log: str | None = None,
-    single_file: bool = True,
+    single_file: bool = False,
     country: str = RANKED_COUNTRY,
 ) -> dict[str, str]:
     """Run one variant, write its results and log its time; returns the result paths.
 
-    The clock covers reading and computing, not writing. Results of a question share its grouped
-    table, which is computed once. ``country`` is the one the monthly question is about.
+    The clock covers reading, computing and writing. Results of a question share its grouped
+    table, and each is computed once, while it is written. ``country`` is the one the monthly
+    question is about. ``single_file`` has one task write each result.
     """
     variant = VARIANTS[number]
     started = time.perf_counter()
     energy = load(spark, source, variant, country if variant.question == "monthly" else None)
-    with materialised(grouped(spark, energy, variant)) as (table, rows):
+    with own_views(spark), materialised(grouped(spark, energy, variant)) as (table, _):
         outputs = results(spark, table, variant)
-        together(lambda df: df.write.format("noop").mode("overwrite").save(), outputs.values())
-        seconds = time.perf_counter() - started
         base = f"{target.rstrip('/')}/{variant.name.lower()}"
-        # A result has no more rows than the grouped table, or one per country and metric.
-        bound = rows * len(METRICS)
-        paths = write_outputs(outputs, base, single_file, result_orders(), bound)
+        paths = write_outputs(outputs, base, single_file, result_orders())
+        seconds = time.perf_counter() - started
     if run_log is not None:
         append_run(spark, run_log, number, workers, seconds)
     return paths
@@ -138,7 +155,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--workers", type=int, default=1, help="noted in the run log")
     parser.add_argument("--run-log", help="folder of the run time table")
     parser.add_argument("--country", default=RANKED_COUNTRY, help="of the monthly question")
-    parser.add_argument("--many-files", action="store_true", help="write results from many tasks")
+    parser.add_argument("--single-file", action="store_true", help="one task writes each result")
     options = parser.parse_args(arguments)
     spark = energy_session(f"gridmetrics {VARIANTS[options.variant].name}")
     run(
@@ -148,6 +165,6 @@ def main(arguments: Sequence[str] | None = None) -> None:
         options.target,
         options.workers,
         options.run_log,
-        not options.many_files,
+        options.single_file,
         options.country,
     )

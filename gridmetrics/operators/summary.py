@@ -40,19 +40,6 @@ def to_long(
     return tagged.unpivot(list(keys), [metric.tag for metric in metrics], "data", "value")
 
 
-def _interpolated(ordered: Column, fraction: float) -> Column:
-    """Value at a fraction of a sorted array, linear between the two nearest elements."""
-    position = F.lit(fraction) * (F.size(ordered) - 1)
-    below, above = F.floor(position).cast("int"), F.ceil(position).cast("int")
-    share = position - below
-    return F.get(ordered, below) * (1 - share) + F.get(ordered, above) * share
-
-
-def _from_list(value: str) -> Column:
-    ordered = F.array_sort(F.collect_list(value))
-    return F.array(*(_interpolated(ordered, fraction) for fraction in QUARTILES))
-
-
 def _from_percentile(value: str) -> Column:
     return F.percentile(value, list(QUARTILES))
 
@@ -69,11 +56,11 @@ def five_number(
 ) -> DataFrame:
     """Minimum, quartiles and maximum of the hourly means of every country and metric.
 
-    ``exact`` and ``sorted_list`` interpolate between neighbouring means, ``approx`` returns one
-    of the means; the methods give different numbers and are never exchanged silently.
+    ``exact`` interpolates between neighbouring means, ``approx`` returns one of the means; the
+    methods give different numbers and are never exchanged silently.
 
-    The input is a profile from ``hour_means``, not raw rows. Its groups are bounded by the hours
-    of a day, which is what makes holding a group's values (exact, sorted_list) safe at any scale.
+    The input is meant to be a profile from ``hour_means``, whose groups are bounded by the hours of
+    a day; only the column is checked for.
     Both metrics are unpivoted first, so one scan and one aggregation serve them.
     """
     if HOUR not in profile.columns:
@@ -81,7 +68,6 @@ def five_number(
     quartiles = {
         "exact": _from_percentile,
         "approx": partial(_from_sketch, accuracy=accuracy),
-        "sorted_list": _from_list,
     }
     if method not in quartiles:
         raise ValueError(f"method must be one of {', '.join(quartiles)}, not {method!r}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEPARATOR = ":"
@@ -13,11 +13,16 @@ SEPARATOR = ":"
 def to_key_json(df: DataFrame, keys: Sequence[str], prefix: str | None = None) -> DataFrame:
     """``key`` from the key columns (and a prefix), ``value`` as a JSON object of the others.
 
-    A NULL key column reads ``null`` in the key, so it cannot run together with its neighbour.
+    Different key columns give different keys: a separator or backslash in a value is escaped by a
+    backslash, and NULL is a backslash and N.
     """
-    parts = [F.coalesce(F.col(key).cast("string"), F.lit("null")) for key in keys]
+
+    def escaped(value: Column) -> Column:
+        return F.regexp_replace(value.cast("string"), r"([\\:])", r"\\$1")
+
+    parts = [F.coalesce(escaped(F.col(key)), F.lit("\\N")) for key in keys]
     if prefix is not None:
-        parts.insert(0, F.lit(prefix))
+        parts.insert(0, escaped(F.lit(prefix)))
     rest = [name for name in df.columns if name not in keys]
     return df.select(
         F.concat_ws(SEPARATOR, *parts).alias("key"),

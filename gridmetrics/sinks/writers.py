@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import ExitStack, contextmanager
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
 
 T = TypeVar("T")
 
-SINGLE_FILE_ROWS = 1_000_000
 MAX_JOBS = 5
 # The times are UTC wall clock, so result files mark them with Z.
 TIME_OUTPUT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
@@ -56,43 +55,36 @@ def write_csv(
     single_file: bool = False,
     order_by: Sequence[str | Column] = (),
     column_names: Sequence[str] = (),
-    row_bound: int | None = None,
-    single_file_rows: int = SINGLE_FILE_ROWS,
 ) -> None:
     """Write a result as CSV with headers, replacing what is at ``path``.
 
-    ``single_file`` is for small results read by people and plotting tools. The rows are counted
-    first unless the caller knows a bound on them; more than ``single_file_rows`` are written by
-    many tasks after all, in order across the files. The last step is a repartition, not a
-    coalesce: a coalesce would pull the aggregation before it into the one writing task.
+    Many tasks write, in order across the files. ``single_file`` has one task write everything,
+    whatever its size: it is for small results read by people and plotting tools. There the last
+    step is a repartition, not a coalesce: a coalesce would pull the aggregation before it into
+    the one writing task.
     """
     result = df.toDF(*column_names) if column_names else df
-    with ExitStack() as held:
-        if single_file and row_bound is None:
-            result, row_bound = held.enter_context(materialised(result))
-        if single_file and row_bound <= single_file_rows:
-            result = result.repartition(1)
-            _save(result.sortWithinPartitions(*order_by) if order_by else result, path)
-        else:
-            _save(result.orderBy(*order_by) if order_by else result, path)
+    if single_file:
+        result = result.repartition(1)
+        _save(result.sortWithinPartitions(*order_by) if order_by else result, path)
+    else:
+        _save(result.orderBy(*order_by) if order_by else result, path)
 
 
 def write_outputs(
     outputs: Mapping[str, DataFrame],
     base: str,
-    single_file: bool = True,
+    single_file: bool = False,
     order_by: Mapping[str, Sequence[str | Column]] | None = None,
-    row_bound: int | None = None,
 ) -> dict[str, str]:
     """Write several results to sub-folders named after them; returns their paths.
 
-    The results are small and independent, so their jobs are submitted together.
+    The results are independent, so their jobs are submitted together.
     """
     paths = {name: f"{base.rstrip('/')}/{name}" for name in outputs}
 
     def write(name: str) -> None:
-        order = (order_by or {}).get(name, ())
-        write_csv(outputs[name], paths[name], single_file, order, row_bound=row_bound)
+        write_csv(outputs[name], paths[name], single_file, (order_by or {}).get(name, ()))
 
     together(write, outputs)
     return paths

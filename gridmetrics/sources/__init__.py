@@ -1,6 +1,6 @@
 from gridmetrics.sources.ingest import to_energy_table, write_both_formats, write_energy
 from gridmetrics.sources.readers import (
-    country_folder,
+    read_countries,
     read_energy,
     read_lines,
     register_energy,
@@ -8,7 +8,7 @@ from gridmetrics.sources.readers import (
 )
 
 __all__ = [
-    "country_folder",
+    "read_countries",
     "read_energy",
     "read_lines",
     "register_energy",

@@ -6,9 +6,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, TimestampType
 
-from gridmetrics.functions.timeparts import event_time, time_text, with_event_time
+from gridmetrics.functions.timeparts import (
+    event_time,
+    time_text,
+    utc_time,
+    with_event_time,
+)
 from gridmetrics.schema import COUNTRY, ENERGY_SCHEMA, EVENT_TIME, TIME_FORMAT
 from gridmetrics.sources.readers import PLACE, checked_format, read_energy
 
@@ -19,15 +24,18 @@ def to_energy_table(
     """Select, rename and cast raw columns to the energy schema.
 
     ``columns`` maps energy column to raw column; columns left out keep their name. Text that is
-    not a number becomes NULL. Times become text in the standard format; text already in that
-    format passes unread.
+    not a number becomes NULL. Times become text in the standard format, zoned ones in UTC; text
+    already in that format passes unread.
     """
     names = {field.name: field.name for field in ENERGY_SCHEMA} | dict(columns or {})
     selected = []
     for field in ENERGY_SCHEMA:
         value = F.col(names[field.name])
         if field.name == EVENT_TIME:
-            is_text = isinstance(df.schema[names[field.name]].dataType, StringType)
+            kind = df.schema[names[field.name]].dataType
+            is_text = isinstance(kind, StringType)
+            if isinstance(kind, TimestampType):
+                value = utc_time(value)
             if is_text and time_format != TIME_FORMAT:
                 value = event_time(value, time_format)
             if not is_text or time_format != TIME_FORMAT:

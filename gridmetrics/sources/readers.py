@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from gridmetrics.schema import ENERGY_SCHEMA, TYPED_SCHEMA
+from gridmetrics.functions.labels import labels_of
+from gridmetrics.schema import COUNTRY_CODES, ENERGY_SCHEMA, TYPED_SCHEMA
 
 PLACE = "place"
 FORMATS = ("parquet", "csv")
@@ -63,26 +66,50 @@ def read_lines(
     across a cluster, so it cannot be found by counting; the CSV reader knows which split starts a
     file, and with a separator and a quote that text does not contain it hands over whole lines.
     Where the header text is known, passing it is faster: the plain text reader runs and lines
-    equal to it are dropped.
+    equal to it are dropped. Blank lines are dropped, as by the CSV reader.
     """
     reader = spark.read.option("recursiveFileLookup", _flag(recursive))
     paths = _paths(path)
     if header is True:
-        return (
-            reader.schema("value string")
+        # A line that holds the separator after all is malformed to the reader, which keeps it whole.
+        lines = (
+            reader.schema("value string, whole string")
+            .option("columnNameOfCorruptRecord", "whole")
             .option("header", "true")
+            .option("enforceSchema", "true")
             .option("sep", "\u0001")
             .option("quote", "")
             .option("escape", "")
             .csv(paths)
+            .select(F.coalesce("whole", "value").alias("value"))
         )
-    lines = reader.text(paths)
-    return lines if header is False else lines.filter(lines.value != header)
+    else:
+        lines = reader.text(paths)
+    lines = lines.filter(F.trim("value") != "")
+    return lines.filter(lines.value != header) if isinstance(header, str) else lines
 
 
-def country_folder(path: str, country: str) -> str:
-    """The folder that ``write_energy(..., by_country=True)`` gives one country."""
-    return f"{path.rstrip('/')}/{PLACE}={country}"
+def read_countries(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    country: str | None = None,
+    codes: Mapping[str, str] = COUNTRY_CODES,
+    typed: bool = False,
+) -> DataFrame:
+    """The table that ``write_energy(..., by_country=True)`` wrote, of one country if given.
+
+    Spark finds the folders below ``path`` itself, so no country is left out, whatever its name.
+    With a country, only the folders of its labels are read.
+    """
+    fmt = checked_format(fmt, typed)
+    fields = (TYPED_SCHEMA if typed else ENERGY_SCHEMA).fields
+    schema = StructType([*fields, StructField(PLACE, StringType())])
+    reader = spark.read.schema(schema).option("basePath", path)
+    energy = reader.option("header", "true").format(fmt).load(path)
+    if country is not None:
+        energy = energy.filter(F.col(PLACE).isin(labels_of(country, codes)))
+    return energy.drop(PLACE)
 
 
 def union_sources(*sources: DataFrame) -> DataFrame:

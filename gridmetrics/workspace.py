@@ -2,22 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
 SHARED_FOLDER = "spark.checkpoint.dir"
-
-
-@cache
-def _local_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="gridmetrics-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
@@ -30,17 +20,13 @@ def _remove_at_exit(spark: SparkSession, path: str) -> None:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """An unused path for one intermediate table, in the folder that every executor can reach.
+    """An unused path for one intermediate table, in a folder that every executor can reach.
 
-    It is an ordinary written table, so it outlives lost executors; it goes with the application.
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local session, where driver
-    and executors are one machine, may do without it.
+    That is the folder in ``spark.checkpoint.dir`` or, where none is set, the session's warehouse.
+    The table is an ordinary written one, so it outlives lost executors; it goes with the
+    application.
     """
-    base = spark.conf.get(SHARED_FOLDER, None)
-    if not base:
-        if not spark.conf.get("spark.master").startswith("local"):
-            raise ValueError(f"set {SHARED_FOLDER} to a folder that all executors share")
-        base = _local_folder()
+    base = spark.conf.get(SHARED_FOLDER, None) or spark.conf.get(WAREHOUSE)
     path = f"{base.rstrip('/')}/gridmetrics/{name}-{uuid.uuid4().hex}"
     _remove_at_exit(spark, path)
     return path

@@ -17,7 +17,7 @@ from gridmetrics.sinks import (
     write_outputs,
 )
 from gridmetrics.sources import (
-    country_folder,
+    read_countries,
     read_energy,
     read_lines,
     register_energy,
@@ -174,7 +174,8 @@ def test_ingest_of_another_time_format(spark):
 def test_country_folders(spark, energy_frame, tmp_path, fmt):
     path = str(tmp_path / "by")
     write_energy(energy_frame(ROWS), path, fmt, by_country=True)
-    assert _rows(read_energy(spark, country_folder(path, "SE"), fmt)) == sorted(ROWS)[2:]
+    assert _rows(read_countries(spark, path, fmt, "SE")) == sorted(ROWS)[2:]
+    assert _rows(read_countries(spark, path, fmt)) == sorted(ROWS)
     assert _rows(read_energy(spark, path, fmt)) == sorted(ROWS)
 
 
@@ -238,10 +239,9 @@ def test_single_file_of_nothing_has_a_header(spark, energy_frame, tmp_path):
     assert [row.value[:8] for row in spark.read.text(path).collect()] == ["Country,"]
 
 
-def test_many_rows_are_not_squeezed_into_one_file(spark, tmp_path):
+def test_rows_are_in_order_across_files(spark, tmp_path):
     path = str(tmp_path / "many")
-    frame = spark.range(0, 1000, 1, 4)
-    write_csv(frame, path, single_file=True, order_by=["id"], single_file_rows=999)
+    write_csv(spark.range(0, 1000, 1, 4), path, order_by=["id"])
     assert len(_parts(path)) > 1
     read = [
         int(line)
@@ -252,12 +252,44 @@ def test_many_rows_are_not_squeezed_into_one_file(spark, tmp_path):
     assert read == list(range(1000))
 
 
-def test_a_known_bound_saves_the_count(spark, tmp_path):
-    frame = spark.range(0, 100, 1, 4)
-    write_csv(frame, str(tmp_path / "low"), single_file=True, row_bound=100)
-    write_csv(frame, str(tmp_path / "high"), single_file=True, row_bound=2_000_000)
-    assert len(_parts(tmp_path / "low")) == 1
-    assert len(_parts(tmp_path / "high")) == 4
+@pytest.mark.parametrize("rows", [10, 2_000_000])
+def test_the_number_of_rows_changes_nothing(spark, tmp_path, rows):
+    path = str(tmp_path / "one")
+    write_csv(spark.range(0, rows, 1, 4), path, single_file=True)
+    assert len(_parts(path)) == 1
+    write_csv(spark.range(0, rows, 1, 4), path)
+    assert len(_parts(path)) == 4
+
+
+def test_odd_country_names_are_found(spark, energy_frame, tmp_path):
+    names = ["Cote d'Ivoire", "a/b", "a=b", None, "Italy", "IT"]
+    rows = [(name, "2021-01-01 00:00:00", float(n), 1.0) for n, name in enumerate(names)]
+    path = str(tmp_path / "by")
+    write_energy(energy_frame(rows), path, by_country=True)
+    assert {row.Country for row in read_countries(spark, path).collect()} == set(names)
+    for name in names[:3]:
+        assert [row.Country for row in read_countries(spark, path, country=name).collect()] == [name]
+    assert {r.Country for r in read_countries(spark, path, country="IT").collect()} == {"IT", "Italy"}
+    plan = read_countries(spark, path, country="IT")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [place" in plan
+
+
+def test_lines_are_parsed_as_the_csv_reader_does(spark, tmp_path):
+    lines = [
+        '"Korea, South",2021-01-01 00:00:00,1.5,2', "IT,,x,3", "SE", "", "  ",
+        ",2021-01-01 01:00:00,,", "IT,2021-01-01 00:00:00,1,2,5", 'a""b,2021-01-01 02:00:00,1,2',
+    ]
+    (tmp_path / "x.csv").write_text("\n".join([CSV_HEADER, *lines]) + "\n")
+    path = str(tmp_path / "x.csv")
+    expected = _rows(with_event_time(read_energy(spark, path, "csv")))
+    for header in (True, CSV_HEADER):
+        assert _rows(parse_lines(read_lines(spark, path, header))) == expected
+
+
+def test_no_line_is_cut(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("head\na\u0001b\nc\n")
+    rows = read_lines(spark, str(tmp_path / "x.csv")).collect()
+    assert [row.value for row in rows] == ["a\u0001b", "c"]
 
 
 def test_results_are_replaced(spark, tmp_path):
@@ -279,7 +311,7 @@ def test_column_names_and_times_of_result_files(spark, tmp_path):
 
 def test_outputs_go_to_folders_of_their_own(spark, tmp_path):
     frames = {"up": spark.range(3), "down": spark.range(2)}
-    paths = write_outputs(frames, str(tmp_path / "out"), order_by={"up": [F.desc("id")]})
+    paths = write_outputs(frames, str(tmp_path / "out"), True, order_by={"up": [F.desc("id")]})
     assert {name: os.path.basename(path) for name, path in paths.items()} == {n: n for n in frames}
     assert [row.value for row in spark.read.text(paths["up"]).collect()] == ["id", "2", "1", "0"]
 
@@ -306,7 +338,10 @@ def test_key_and_json(spark):
         ("yearly:IT:2021", '{"x":1.5,"y":null,"z":"a"}')
     ]
     null = spark.sql("SELECT CAST(NULL AS STRING) Country, 2021 year, 1 x")
-    assert to_key_json(null, ["Country", "year"]).first().key == "null:2021"
+    assert to_key_json(null, ["Country", "year"]).first().key == "\\N:2021"
+    pairs = [("a:b", "c"), ("a", "b:c"), ("a\\", ":c"), (None, "c"), ("\\N", "c"), ("null", "c")]
+    keys = to_key_json(spark.createDataFrame(pairs, "x string, y string"), ["x", "y"]).collect()
+    assert len({row.key for row in keys}) == len(pairs)
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
@@ -332,18 +367,12 @@ def _session(spark, **settings):
     return SimpleNamespace(conf=conf, sparkContext=spark.sparkContext)
 
 
-def test_a_cluster_without_a_shared_folder_is_refused(spark):
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        new_folder(_session(spark, **{"spark.master": "yarn"}), "x")
-
-
 def test_the_shared_folder_of_the_session_is_used(spark, tmp_path):
     settings = {"spark.master": "yarn", "spark.checkpoint.dir": f"{tmp_path}/shared/"}
     path = new_folder(_session(spark, **settings), "x")
     assert path.startswith(f"{tmp_path}/shared/gridmetrics/x-")
 
 
-def test_a_local_session_may_use_a_folder_of_its_own(spark):
-    session = _session(spark, **{"spark.master": "local[2]"})
-    paths = {new_folder(session, "x"), new_folder(session, "x")}
-    assert len(paths) == 2 and all(os.path.isdir(path) for path in paths)
+def test_the_warehouse_is_used_where_no_shared_folder_is_named(spark, tmp_path):
+    session = _session(spark, **{"spark.sql.warehouse.dir": str(tmp_path)})
+    assert new_folder(session, "x").startswith(f"{tmp_path}/gridmetrics/x-")

@@ -32,7 +32,7 @@ def outputs(spark, inputs, tmp_path_factory):
     base = tmp_path_factory.mktemp("output")
     paths = {
         number: jobs.run(
-            spark, number, inputs[variant.fmt], f"{base}/results", 3, f"{base}/runs"
+            spark, number, inputs[variant.fmt], f"{base}/results", 3, f"{base}/runs", True
         )
         for number, variant in VARIANTS.items()
     }
@@ -100,7 +100,7 @@ def test_command_line(spark, tmp_path, monkeypatch):
     source = tmp_path / "in.csv"
     source.write_text(f"{CSV_HEADER}\nIT,2021-01-01 00:00:00,1.0,2.0\n")
     jobs.main(["11", str(source), "--target", str(tmp_path / "out"), "--workers", "2",
-               "--run-log", str(tmp_path / "log")])
+               "--run-log", str(tmp_path / "log"), "--single-file"])
     found = _lines(spark, str(tmp_path / "out" / "query_1_df_csv" / "stats"))
     assert found[1:] == ["IT,2021,1.0,1.0,1.0,2.0,2.0,2.0"]
     assert read_runs(spark, str(tmp_path / "log")).first().query == 11
