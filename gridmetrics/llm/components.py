@@ -11,10 +11,10 @@ from gridmetrics.llm.storage import checkpointed
 def components(edges: DataFrame) -> DataFrame:
     """``id`` and ``component`` (its smallest id) for the end points of ``edges`` (long ``a`` and ``b``).
 
-    In each round every node takes its smallest neighbour, or itself, as parent, and the graph is
-    contracted to the parents. That at least halves the nodes with edges, so the rounds are few; a
-    star takes one. Nothing but a count of edges comes to the driver, and each round is written to the
-    checkpoint folder. Loops, repeated edges and edges with a null end are of no effect.
+    In each round every node takes its smallest neighbour, or itself, as parent, parents are followed
+    to their roots by doubling steps, and the graph is contracted to the roots. That at least halves the
+    nodes with edges, so the rounds are few; a star and a chain take one. Nothing but the answer whether
+    something is left comes to the driver, and each round is written to the checkpoint folder. Loops, repeated edges and edges with a null end are of no effect.
     """
     edges = checkpointed(edges.select("a", "b").where(F.col("a") != F.col("b")).distinct())
     steps = []
@@ -22,8 +22,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parents = both.groupBy("a").agg(F.min("b").alias("b"))
         parents = parents.select(F.col("a").alias("id"), F.least("a", "b").alias("parent"))
-        above = parents.select(F.col("id").alias("parent"), F.col("parent").alias("grandparent"))
-        parents = checkpointed(parents.join(above, "parent").select("id", F.col("grandparent").alias("parent")))
+        parents = _to_roots(parents)
         steps.append(parents)
         start = parents.select(F.col("id").alias("a"), F.col("parent").alias("pa"))
         end = parents.select(F.col("id").alias("b"), F.col("parent").alias("pb"))
@@ -37,3 +36,14 @@ def components(edges: DataFrame) -> DataFrame:
         step = step.withColumnRenamed("id", "component")
         result = result.join(step, "component", "left").select("id", F.coalesce("parent", "component").alias("component"))
     return result
+
+
+def _to_roots(parents: DataFrame) -> DataFrame:
+    """``id`` and the root above it as ``parent``; a tree of depth d takes log d steps."""
+    while True:
+        parents = checkpointed(parents)
+        above = parents.select(F.col("id").alias("parent"), F.col("parent").alias("above"))
+        next_up = checkpointed(parents.join(above, "parent"))
+        if next_up.where("above <> parent").isEmpty():
+            return parents
+        parents = next_up.select("id", F.col("above").alias("parent"))
