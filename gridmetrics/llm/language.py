@@ -37,8 +37,8 @@ GRAMS = (2, 3, 4)
 HELD_BACK = 5
 WRONG = 0.01
 
-#: Rounds over the sample, texts of one step, and the rates of the layer and of the embeddings at the start.
-EPOCHS, BATCH, LAYER_RATE, EMBEDDING_RATE = 8, 16, 1.0, 50.0
+#: Steps at least, texts of one step, and the rates of the layer and of the embeddings at the start.
+STEPS, BATCH, LAYER_RATE, EMBEDDING_RATE = 600, 16, 1.0, 50.0
 UNKNOWN = "und"
 #: Words a worker keeps, and words of a text that are added up at once.
 KEPT_WORDS, SUMMED = 200_000, 20_000
@@ -103,9 +103,10 @@ def fit_language_model(texts: list[str], labels: list[str], seed: int = 0) -> La
     held = np.arange(len(bags)) % HELD_BACK == 0 if len(bags) >= 10 * HELD_BACK else np.zeros(len(bags), bool)
     embeddings = random.normal(0, 0.1, (BUCKETS, WIDTH))
     layer, bias = random.normal(0, 0.1, (WIDTH, len(languages))), np.zeros(len(languages))
-    steps = [(epoch, at) for epoch in range(EPOCHS) for at in range(0, int((~held).sum()), BATCH)]
+    round_of = range(0, int((~held).sum()), BATCH)
+    steps = [at for _ in range(-(-STEPS // len(round_of))) for at in round_of]
     order = np.empty(0, int)
-    for number, (_, at) in enumerate(steps):
+    for number, at in enumerate(steps):
         if at == 0:
             order = random.permutation(np.flatnonzero(~held))
         left = 1 - number / len(steps)
