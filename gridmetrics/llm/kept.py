@@ -21,8 +21,11 @@ class Kept(dict):
         if result is None:
             result = self.work(text)
         if len(text) <= LONGEST_KEPT:
-            if len(self) >= self.most:
-                self.older = dict(self)
-                self.clear()
-            self[text] = result
+            self.keep(text, result)
         return result
+
+    def keep(self, text: str, result: Any) -> None:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[text] = result

@@ -26,27 +26,65 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridmetrics.llm.batches import bound_batches, map_batches
-from gridmetrics.llm.kept import Kept
+from gridmetrics.llm.kept import LONGEST_KEPT, Kept
 from gridmetrics.llm.storage import checkpointed
 
 #: Words a worker keeps, and pieces of one length that are ranked together.
 KEPT_WORDS = 250_000
 RANKED_TOGETHER = 1000
+ENCODED_TOGETHER = 20_000
 
 
-@lru_cache(maxsize=2)
-def _words(path: str) -> Kept:
+_MARKS = ".,;:!?"
+
+
+class _Ids:
     """Ids, as little-endian 32-bit numbers, of what stands between spaces."""
-    tokenizer = Tokenizer.from_file(path)
-    return Kept(lambda word: np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes(), KEPT_WORDS)
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer = Tokenizer.from_file(path)
+        self.stems = Kept(lambda stem: self._bytes(self.tokenizer.encode(stem, add_special_tokens=False).ids), KEPT_WORDS)
+        self.words = Kept(self._word, KEPT_WORDS)
+
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        return np.array(ids, "<u4").tobytes()
+
+    @staticmethod
+    def _parts(word: str) -> tuple[str, str]:
+        """A word and the marks after it, which the tokenizer splits off; case does not count for it."""
+        stem = word.rstrip(_MARKS)
+        if stem.isascii() and stem.isalpha():
+            return stem.lower(), word[len(stem) :]
+        return word, ""
+
+    def _word(self, word: str) -> bytes:
+        stem, marks = self._parts(word)
+        return self.stems[stem] + self.stems[marks] if marks else self.stems[stem]
+
+    def learn(self, texts: list[str]) -> None:
+        """Encode what is new in some texts at once, which costs less than word by word."""
+        known, older = self.words, self.words.older
+        words = {word for text in texts for word in text.split(" ") if word not in known and word not in older}
+        stems = {stem for word in words for stem in self._parts(word)[:1] if len(stem) <= LONGEST_KEPT}
+        new = [stem for stem in stems if stem not in self.stems and stem not in self.stems.older]
+        for at in range(0, len(new), ENCODED_TOGETHER):
+            part = new[at : at + ENCODED_TOGETHER]
+            for stem, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.stems.keep(stem, self._bytes(found.ids))
+
+
+@lru_cache(maxsize=2)
+def _ids(path: str) -> _Ids:
+    return _Ids(path)
 
 
 def document_ids(text: str | None, path: str, closing_id: int) -> bytes:
     """Ids of a text and the closing id.
 
-    The tokenizer must drop white space and let no token cross a space.
+    The tokenizer must drop white space, lower-case, split letters from marks and let no token cross a space.
     """
-    words = map(_words(path).__getitem__, text.split(" ")) if text else ()
+    words = map(_ids(path).words.__getitem__, text.split(" ")) if text else ()
     return b"".join([*words, np.array([closing_id], "<u4").tobytes()])
 
 
@@ -59,8 +97,10 @@ def token_pieces(
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, starts, lengths, sums, totals, parts = [], [], [], [], [], []
-        for row, value in enumerate(batch.column(1)):
-            ids = document_ids(value.as_py(), path, closing_id)
+        texts = batch.column(1).to_pylist()
+        _ids(path).learn([text for text in texts if text])
+        for row, text in enumerate(texts):
+            ids = document_ids(text, path, closing_id)
             for at in range(0, len(ids), step):
                 part = ids[at : at + step]
                 rows.append(row)
