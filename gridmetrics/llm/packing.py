@@ -52,10 +52,10 @@ class _Ids:
 
     @staticmethod
     def _parts(word: str) -> tuple[str, str]:
-        """A word and the marks after it, which the tokenizer splits off; case does not count for it."""
+        """A word and the marks after it, which the tokenizer splits off; the case of A-Z does not count for it."""
         stem = word.rstrip(_MARKS)
-        if stem.isascii() and stem.isalpha():
-            return stem.lower(), word[len(stem) :]
+        if stem.isalpha():
+            return stem.lower() if stem.isascii() else stem, word[len(stem) :]
         return word, ""
 
     def _word(self, word: str) -> bytes:
