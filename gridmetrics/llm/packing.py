@@ -18,6 +18,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import count
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +55,10 @@ class _Ids:
     def _parts(word: str) -> tuple[str, str]:
         """A word and the marks after it, which the tokenizer splits off; the case of A-Z does not count for it."""
         stem = word.rstrip(_MARKS)
-        if stem.isalpha():
-            return stem.lower() if stem.isascii() else stem, word[len(stem) :]
+        if stem.isascii() and stem.isalpha():
+            return stem.lower(), word[len(stem) :]
+        if stem.isalpha() and stem.lower().isalpha() and is_normalized("NFC", stem):  # else a sign may join the marks
+            return stem, word[len(stem) :]
         return word, ""
 
     def _word(self, word: str) -> bytes:
