@@ -15,9 +15,11 @@ texts are. Rows come out one for one; a null id stays. Ties go to the first lang
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -144,14 +146,21 @@ def sample_and_fit(docs: DataFrame, usable: Column, id_column: str = "doc_id", t
     return fit_language_model([row["text"] for row in sample], [row["label"] for row in sample])
 
 
+@lru_cache(maxsize=1)
+def _word_table(model_name: str, width: int) -> tuple[dict[str, int], np.ndarray]:
+    """Numbers and score vectors of the words that a worker has met under a model, over its tasks."""
+    return {}, np.zeros((KEPT_WORDS, width + 1))
+
+
 def languages(docs: DataFrame, model: LanguageModel | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: the id, ``lang_pred``, ``score`` (its calibrated probability) and ``accepted``."""
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
+    name = uuid.uuid4().hex
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = len(model.languages) if model else 0
-        numbers: dict[str, int] = {}
-        vectors = np.zeros((KEPT_WORDS, width + 1))
+        numbers, vectors = _word_table(name, width)
         work = model.word_scores() if model else None
 
         def number(word: str) -> int:
