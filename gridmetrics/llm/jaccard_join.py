@@ -39,10 +39,8 @@ from pyspark.sql import functions as F
 
 from gridmetrics.llm.batches import bound_batches, map_batches
 from gridmetrics.llm.components import components
-from gridmetrics.llm.kept import Kept
 from gridmetrics.llm.storage import checkpointed
 
-KEPT_WORDS = 250_000
 #: Upper over lower end of a size band.
 BAND = 1.5
 #: Largest chance that sketches miss a linked pair.
@@ -54,8 +52,6 @@ SKETCH_BLOCK, BLOCK = 1024, 256
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _STEP = 0x9E3779B97F4A7C15
 
-_WORD_HASHES = Kept(xxhash.xxh3_64_intdigest, KEPT_WORDS)
-
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """Hashes of 64-bit values."""
@@ -69,7 +65,7 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     found = (text or "").encode().lower().split()  # of bytes, only A-Z change and only ASCII white space separates
     if not found:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_WORD_HASHES.__getitem__, found), np.uint64, len(found))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     width = min(words, len(found))
     total = np.full(len(found) - width + 1, width, np.uint64)
     for at in range(width):
