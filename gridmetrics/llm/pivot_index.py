@@ -1,7 +1,8 @@
 """Near-duplicate vectors of equal label, found through a pivot-permutation index.
 
-Reference vectors (pivots) are sampled by hash. A vector is described by its nearest pivots in order,
-and stands in the inverted list of each. Two vectors are candidates if their descriptions share enough
+Reference vectors (pivots) are sampled by hash and thinned, so that no two are close: else a dense group
+that holds many rows would hold many pivots, of which linked vectors pick different ones. A vector is
+described by its nearest pivots in order, and stands in the inverted list of each. Two vectors are candidates if their descriptions share enough
 pivots; candidates are verified by cosine in double precision. A pair is treated in the list of the
 smallest pivot that both have, so it counts once.
 
@@ -33,6 +34,8 @@ from gridmetrics.llm.storage import checkpointed
 
 #: The sample of pivots: the square root of the number of vectors, within these.
 FEWEST_PIVOTS, MOST_PIVOTS = 64, 4096
+#: Vectors drawn for each wanted pivot, and the cosine to a kept pivot from which another is dropped.
+DRAWN, CLOSE = 2, 0.9
 #: Pivots in a description, and how many of them candidates share at least.
 NEAREST, SHARED = 8, 2
 #: Vectors of a list that are compared together.
@@ -52,6 +55,16 @@ def unit_rows(vectors: list) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def thinned(rows: np.ndarray, wanted: int) -> np.ndarray:
+    """Of unit vectors, in order, those that are close to none kept before, as many as wanted."""
+    kept, n = np.empty((min(wanted, len(rows)), rows.shape[1])), 0
+    for row in rows:
+        if n < len(kept) and not (kept[:n] @ row >= CLOSE).any():
+            kept[n] = row
+            n += 1
+    return kept[:n]
+
+
 def described(vectors: pd.Series, pivots: dict[int, np.ndarray], nearest: int) -> list[np.ndarray]:
     """The nearest pivots of each vector, the nearest first; where none has its length, the one list -1."""
     found: list[np.ndarray] = [np.array([-1])] * len(vectors)
@@ -104,9 +117,9 @@ def vector_groups(
     classes = rows.where("one is not null").groupBy("one", "two")
     classes = checkpointed(classes.agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies"), F.first("vector").alias("vector"), F.first("label").alias("label")))
     wanted = min(MOST_PIVOTS, max(FEWEST_PIVOTS, ceil(sqrt(classes.count()))))
-    sample = classes.select("vector").orderBy(F.xxhash64("one", "two")).limit(wanted).collect()
+    sample = classes.select("vector").orderBy(F.xxhash64("one", "two")).limit(DRAWN * wanted).collect()
     lengths = {len(row["vector"]) for row in sample}
-    pivots = {n: unit_rows([row["vector"] for row in sample if len(row["vector"]) == n]) for n in lengths}
+    pivots = {n: thinned(unit_rows([row["vector"] for row in sample if len(row["vector"]) == n]), wanted) for n in lengths}
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = described(batch.column(1).to_pandas(), pivots, nearest)

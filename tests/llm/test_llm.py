@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gridmetrics.llm import packing, piece_sampling, queries, token_counts
+from gridmetrics.llm import packing, piece_sampling, pivot_index, queries, token_counts
 from gridmetrics.llm.components import components
 from gridmetrics.llm.jaccard_join import jaccard_groups
 from gridmetrics.llm.language import fit_language_model, languages
@@ -153,6 +153,21 @@ def test_vector_groups(spark):
     assert vector_groups(frame.limit(0), 0.98).count() == 0
 
 
+@pytest.mark.parametrize(("rows", "pivots"), [(1500, 316), (3000, 1000)])
+def test_vector_groups_recall_with_a_dense_group(spark, monkeypatch, rows, pivots):
+    """A third of the vectors are unequal near copies; with as many pivots as 100,000 and 1,000,000 rows have."""
+    monkeypatch.setattr(pivot_index, "FEWEST_PIVOTS", pivots)
+    pick, dense = np.random.default_rng(rows), rows // 3
+    vectors = pick.normal(size=(rows, 64))
+    vectors[:dense] = vectors[0] + pick.normal(0, 0.125, (dense, 64))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    frame = spark.createDataFrame([(n, v.tolist(), 1) for n, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    found = vector_groups(frame, 0.98).collect()
+    assert all(row.n_links <= links[row.vec_id] for row in found)
+    assert sum(row.n_links for row in found) >= 0.9 * links.sum() > 0.2 * dense * dense
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 1), (7, 6), (9, 9), (None, 4), *((n, n + 1) for n in range(100, 140))]
     found = {row.id: row.component for row in components(spark.createDataFrame(edges, "a long, b long")).collect()}
