@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridmetrics.llm.jaccard_join import jaccard_groups
 from gridmetrics.llm.language import languages, sample_and_fit
 from gridmetrics.llm.license_scan import license_scan
-from gridmetrics.llm.line_dedup import without_repeated_lines
+from gridmetrics.llm.line_dedup import without_repeated_passages
 from gridmetrics.llm.packing import packed_documents
 from gridmetrics.llm.piece_sampling import sampled_pieces
 from gridmetrics.llm.pivot_index import vector_groups
@@ -72,7 +72,7 @@ def op3_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return without_repeated_lines(docs, counts=("n_lines", "n_deleted"))
+    return without_repeated_passages(docs, counts=("n_lines", "n_deleted"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gridmetrics.llm import packing, piece_sampling, pivot_index, queries, token_counts
+from gridmetrics.llm import line_dedup, packing, piece_sampling, pivot_index, queries, token_counts
 from gridmetrics.llm.components import components
 from gridmetrics.llm.jaccard_join import jaccard_groups
 from gridmetrics.llm.language import fit_language_model, languages
@@ -347,6 +347,46 @@ def test_line_dedup(spark, docs, empty, enough):
     assert without_repeated_lines(docs).columns == docs.columns and without_repeated_lines(empty).count() == 0
 
 
+def without_later_words(texts, enough):
+    """Brute force: words outside all runs of that many words that stand earlier too."""
+    first, left = set(), {}
+    for n in sorted(texts):
+        words = (texts[n] or "").encode().split()
+        gone = set()
+        for start in range(len(words) - enough + 1):
+            run = tuple(words[start : start + enough])
+            gone |= set(range(start, start + enough)) if run in first else set()
+            first.add(run)
+        left[n] = [w for k, w in enumerate(words) if k not in gone]
+    return left
+
+
+@pytest.mark.parametrize("enough", [1, 2, 5, 50])
+def test_passages_against_brute_force(spark, docs, empty, enough):
+    pick = random.Random(6)
+    texts = dict(enumerate(TEXTS))
+    for n in range(len(TEXTS), 60):
+        texts[n] = "".join(prose(pick.randint(1, 90), pick.randint(0, 4)) + pick.choice([" ", "\n", "  \n\n "]) for _ in range(pick.randint(0, 4)))
+    frame = spark.createDataFrame([*texts.items(), (6, TEXTS[6])], "doc_id long, text string").repartition(4)
+    expected = without_later_words(texts, enough)
+    rows = line_dedup.without_repeated_passages(frame, enough, counts=("n", "gone")).collect()
+    assert len(rows) == len(texts) + 1
+    for row in rows:
+        assert (row.text or "").encode().split() == expected[row.doc_id], row.doc_id
+        assert row.gone == row.n - sum(bool(x.strip(" \t\r\v\f")) for x in (row.text or "").split("\n"))
+    assert line_dedup.without_repeated_passages(empty).count() == 0
+    assert line_dedup.without_repeated_passages(docs).columns == docs.columns
+
+
+def test_line_dedup_cuts_passages_out_of_longer_lines(spark, tmp_path):
+    passage = prose(60, 50)
+    texts = [f"one {prose(70, 51)} {passage} end one", f"first line\nhead  two {passage} tail two\nlast"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = by_id(queries.op10_line_dedup(spark, str(tmp_path)))
+    assert found[0].text == texts[0] and found[1].text == "first line\nhead  two tail two\nlast"
+    assert (found[1].n_lines, found[1].n_deleted) == (3, 0)
+
+
 # Pipeline
 
 
