@@ -328,6 +328,19 @@ def typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.yearly_stats(read_energy(spark, path, typed=True))
 
 
+def renamed_raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as text under other column names, with times in another format, ingested and profiled by hour."""
+    rows = to_energy_table(_events(spark, sf_dir))
+    raw = rows.select(
+        F.col(COUNTRY).alias("zone"),
+        F.regexp_replace(EVENT_TIME, r"^(\d+)-(\d+)-(\d+) ", "$3.$2.$1 at ").alias("stamp"),
+        F.col("CarbonDirect").cast("string").alias("co2"),
+        F.col("CFEpercent").cast("string").alias("share"),
+    )
+    names = {COUNTRY: "zone", EVENT_TIME: "stamp", "CarbonDirect": "co2", "CFEpercent": "share"}
+    return plans.hourly_profile(to_energy_table(raw, names, "dd.MM.yyyy 'at' HH:mm:ss"))
+
+
 def both_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The input written in both formats; rows and latest time of each copy."""
     raw = to_energy_table(_shipments(spark, sf_dir))
@@ -501,6 +514,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_roundtrip": csv_roundtrip,
         "parquet_roundtrip": parquet_roundtrip,
         "typed_roundtrip": typed_roundtrip,
+        "renamed_raw_table": renamed_raw_table,
         "both_formats": both_formats,
         "country_file_scan": country_file_scan,
         "monthly_country_files": monthly_country_files,
@@ -714,6 +728,7 @@ GROUP BY 1, 2, 3, 4
         "csv_roundtrip": _YEARLY,
         "parquet_roundtrip": _YEARLY,
         "typed_roundtrip": _YEARLY,
+        "renamed_raw_table": _PROFILE,
         "both_formats": f"""
 SELECT format, l_returnflag AS Country, count(*) AS hours, max(l_shipdate) AS last_time
 FROM {_SHIPMENTS} CROSS JOIN (VALUES ('parquet'), ('csv')) AS formats(format)
