@@ -63,7 +63,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return sampled_pieces(_table(spark, sf_dir, "documents"), path, draws=2, with_ids=False)
+    return sampled_pieces(_table(spark, sf_dir, "documents"), path, draws=2)
 
 
 def op3_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,6 +121,14 @@ def test_pieces_decode(docs, empty):
     assert sorted(map(repr, (r[:-1] for r in map(tuple, rows)))) == sorted(map(repr, map(tuple, again)))
 
 
+def test_sampled_pieces_query_returns_the_segmentations(spark):
+    found = queries.op2_sampled_pieces(spark, SF_DIR)
+    found = found.withColumn("back", piece_sampling.decode_pieces(F.col("ids"), PIECES))
+    rows = found.join(spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text"), "doc_id").collect()
+    assert rows and all(row.back == (row.text or "") and row.n_pieces == len(row.ids) for row in rows)
+    assert all(row.ids_crc32 == zlib.crc32(np.array(row.ids, "<u4").tobytes()) for row in rows)
+
+
 # 3
 
 
