@@ -34,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmetrics.llm.batches import bound_batches, map_batches
@@ -206,8 +206,9 @@ def jaccard_groups(docs: DataFrame, words: int, percent: int, id_column: str = "
     classes = rows.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("rep"))
     firsts = rows.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     keys = firsts.select("id", F.explode("keys").alias("key"))
-    first = F.min("id").over(Window.partitionBy("key").orderBy("id"))
-    shared = keys.select(F.col("id").alias("a"), first.alias("b")).where("a <> b").distinct()
+    # A table, so that both sides of the join are plain exchanges, whose hot keys adaptive execution can split.
+    least = checkpointed(keys.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b < last").drop("last"))
+    shared = keys.join(least, "key").select(F.col("id").alias("a"), "b").where("a <> b").distinct()
     families = checkpointed(components(shared))
     families = checkpointed(components(_near(rows, families, percent)))
     links = _verified(source, families, words, percent)

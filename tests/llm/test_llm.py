@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gridmetrics.llm import line_dedup, packing, piece_sampling, pivot_index, queries, token_counts
+from gridmetrics.llm import jaccard_join, line_dedup, packing, piece_sampling, pivot_index, queries, token_counts
 from gridmetrics.llm.components import components
 from gridmetrics.llm.jaccard_join import jaccard_groups
 from gridmetrics.llm.language import fit_language_model, languages
@@ -321,6 +321,13 @@ def test_jaccard_groups(spark, docs, empty, words, percent):
     assert jaccard_groups(docs, words, percent).count() == docs.count()
 
 
+def test_sketch_words_are_not_gathered_in_one_task(spark, docs, monkeypatch):
+    plans = []
+    monkeypatch.setattr(jaccard_join, "components", lambda edges: plans.append(edges._jdf.queryExecution().toString()) or components(edges))
+    assert jaccard_groups(docs, 5, 80).count() == docs.count()
+    assert "Join" in plans[0] and "Window" not in plans[0]
+
+
 # 10
 
 
