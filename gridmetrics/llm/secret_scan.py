@@ -1,11 +1,12 @@
 """Secrets in texts: patterns that are enough by themselves, and credentials linked from several parts.
 
 Assignments, access ids and long hexadecimal runs count wherever they stand. A random-looking string is
-only a weak candidate. An interval join with the access ids and endpoints of the same scope (a paragraph)
-reports it if one of them stands within reach: then the parts complement each other.
+only a weak candidate. A join with the access ids and endpoints of the same scope (a paragraph) reports
+it if there is one, however far away: the scope is the interval in which parts complement each other. A
+random-looking string inside an endpoint is complemented by that endpoint.
 
 Texts are searched once, in Arrow batches; what is found goes to the checkpoint folder. The join is on
-text, scope and a grid of places, in which a cell holds a bounded number of parts.
+text and scope, with one row for each scope that has an access id or endpoint.
 
 Null text counts as empty. Result rows come out for each input row; repeated rows get the same result,
 and so do rows with a null id. An empty table gives an empty result. Other columns are not looked at.
@@ -39,9 +40,8 @@ ENDPOINT = re.compile(r"(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redi
 IDENTIFIER = re.compile(r"""(?:client|access|account|user)_?(?:key_?)?id["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}""", re.ASCII | re.IGNORECASE)
 WEAK = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 
-#: What ends a scope, and how far apart, in code points, parts may stand.
+#: What ends a scope.
 SCOPE_END = re.compile(r"\n[ \t]*\n")
-REACH = 200
 
 MASK = "[secret]"
 
@@ -62,13 +62,14 @@ def looks_random(value: str) -> bool:
 
 
 def text_parts(text: str, base: list[tuple[int, str, int]]) -> tuple[list[dict], list[dict]]:
-    """Weak candidates outside the base spans, and access ids and endpoints, with their scopes."""
+    """Weak candidates outside the base spans and access ids, and access ids and endpoints, with their scopes."""
     weak = [(m.start(), m.end()) for m in WEAK.finditer(text) if looks_random(m[0])]
     if not weak:
         return [], []
     known = [(start, end) for start, kind, end in base if kind == "access"]
-    others = known + [m.span() for pattern in (ENDPOINT, IDENTIFIER) for m in pattern.finditer(text)]
-    taken = sorted((start, end) for start, _, end in base) + sorted(others)
+    named = [m.span() for m in IDENTIFIER.finditer(text)]
+    others = known + [m.span() for m in ENDPOINT.finditer(text)] + named
+    taken = sorted((start, end) for start, _, end in base) + named
     weak = [(start, end) for start, end in weak if not any(s < end and start < e for s, e in taken)]
     ends = [m.start() for m in SCOPE_END.finditer(text)]
     part = lambda span: {"scope": bisect_left(ends, span[0]), "start": span[0], "end": span[1]}
@@ -97,21 +98,15 @@ def _found(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def _linked(found: DataFrame) -> DataFrame:
-    """Weak candidates with an access id or endpoint of their scope within reach."""
-
-    def cells(column: str, margin: int) -> DataFrame:
-        rows = found.where(F.size("weak") > 0).where(F.size("parts") > 0)
-        rows = rows.select("id", "print", F.explode(column).alias("part")).select("id", "print", "part.*")
-        low, high = F.col("start") - margin, F.col("end") + margin
-        cell = F.explode(F.sequence(F.floor(low / REACH), F.floor(high / REACH)))
-        return rows.select("id", "print", "scope", cell.alias("cell"), low.alias("low"), high.alias("high"))
-
-    weak, other = cells("weak", 0).alias("w"), cells("parts", REACH).alias("o")
+    """Weak candidates with an access id or endpoint in their scope."""
+    rows = found.where(F.size("weak") > 0).where(F.size("parts") > 0)
+    weak = rows.select("id", "print", F.explode("weak").alias("part")).select("id", "print", "part.*").alias("w")
+    scopes = F.explode(F.array_distinct(F.transform("parts", lambda p: p["scope"])))
+    other = rows.select("id", "print", scopes.alias("scope")).distinct().alias("o")
     same = F.col("w.id").eqNullSafe(F.col("o.id"))
-    for name in ("print", "scope", "cell"):
+    for name in ("print", "scope"):
         same = same & (F.col(f"w.{name}") == F.col(f"o.{name}"))
-    meets = (F.col("o.low") <= F.col("w.high")) & (F.col("w.low") <= F.col("o.high"))
-    spans = weak.join(other, same & meets, "left_semi").select("id", "print", F.col("low").alias("start"), F.lit(KINDS.index("linked")).alias("kind"), F.col("high").alias("end"))
+    spans = weak.join(other, same, "left_semi").select("id", "print", "start", F.lit(KINDS.index("linked")).alias("kind"), "end")
     return spans.groupBy("id", "print").agg(F.collect_set(F.struct("start", "kind", "end")).alias("linked"))
 
 

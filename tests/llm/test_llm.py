@@ -249,6 +249,16 @@ def test_secret_scan(docs, empty):
     assert secret_report(empty).count() == 0 and without_secrets(docs).columns == docs.columns
 
 
+def test_secrets_are_linked_in_the_whole_scope_and_inside_endpoints(spark):
+    weak, filler = "aB3dE5fG7hI9jK1lM3nO5", "option = yes\n" * 60
+    texts = [f"host https://db.example.org/x\n{filler}key {weak}\n", f"get https://db.example.org/{weak} now", f"host https://db.example.org/x\n\n{filler}key {weak}\n"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, at = by_id(secret_report(frame)), texts[0].index(weak)
+    assert found[0].spans == f"linked:{at}:{at + len(weak)}" and found[1].spans and found[2].spans == ""
+    masked = by_id(without_secrets(frame))
+    assert weak not in masked[0].text and weak not in masked[1].text and masked[2].text == texts[2]
+
+
 # 7
 
 
