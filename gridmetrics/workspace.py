@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 WAREHOUSE = "spark.sql.warehouse.dir"
@@ -30,3 +30,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     path = f"{base.rstrip('/')}/gridmetrics/{name}-{uuid.uuid4().hex}"
     _remove_at_exit(spark, path)
     return path
+
+
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """``df`` computed once, written to a folder of its own and read back.
+
+    What follows does not go back to the input where an executor is lost.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)  # the folder is there, empty
+    return df.sparkSession.read.schema(df.schema).parquet(path)
