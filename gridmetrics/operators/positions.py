@@ -22,12 +22,16 @@ def _columns(df: DataFrame, order: Sequence[str | Column]) -> list[Column]:
     return [df[name] if isinstance(name, str) else name for name in order]
 
 
-def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Join condition on equal values, NULL equal to NULL."""
+def null_safe_join(
+    left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on equal values of ``names``, NULL equal to NULL; the names come out once, as on the left."""
+    other = {name: f"_right_{name}" for name in names}
+    right = right.withColumnsRenamed(other)
     condition = F.lit(True)
     for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+        condition = condition & F.col(name).eqNullSafe(F.col(other[name]))
+    return left.join(right, condition, how).drop(*other.values())
 
 
 def _dealt_out(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -73,9 +77,9 @@ def with_positions(
             "_size": F.sum("_rows").over(Window.partitionBy(F.lit(0), *keys)),
         }
     )
-    joined = rows.join(counts, same(rows, counts, ["_part", *keys]))
+    joined = null_safe_join(rows, counts, ["_part", *keys])
     return joined.select(
-        *(rows[name] for name in df.columns),
+        *df.columns,
         (F.col("_before") + F.col("_place") - F.col("_first")).alias(position),
         F.col("_size").alias(size),
     )
@@ -104,9 +108,9 @@ def value_positions(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame
     inside = Window.partitionBy("_part", *keys).orderBy("_place")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    joined = rows.join(sums, same(rows, sums, ["_part", *keys]))
+    joined = null_safe_join(rows, sums, ["_part", *keys])
     return joined.select(
-        *(rows[name] for name in (*keys, value, "n")),
+        *(*keys, value, "n"),
         (F.col("_before") + F.col("_inside")).alias("first_position"),
         F.col("group_size"),
     )
