@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmetrics.llm.conversation_repair import messages, repair_report
 from gridmetrics.llm.jaccard_join import jaccard_groups
 from gridmetrics.llm.language import languages, sample_and_fit
 from gridmetrics.llm.license_scan import license_scan
@@ -91,6 +92,25 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(_table(spark, sf_dir, "documents"), tampered)
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults by a hash of conversation and turn; ``copies`` says how often a row stands."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    rows = rows.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), (F.crc32(key) % 20).alias("fault"))
+    return rows.where("fault <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("fault") == 3, F.lit(2)).otherwise(F.lit(1)).alias("copies"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    return repair_report(rows, messages(damaged(rows), copies=F.col("copies")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_sampled_pieces": op2_sampled_pieces,
@@ -104,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
     "op11_token_files": op11_token_files,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _SPACES = r"[\x20\x09-\x0D]"
