@@ -10,7 +10,9 @@ white space inside).
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
@@ -25,10 +27,16 @@ _UNIT = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 _RUN_TO_SPACE = f"[{_WHITE}] "
 
 #: Words a worker remembers between batches, and the longest of them (characters).
-KEPT_WORDS = 400_000
+KEPT_WORDS = 700_000
 LONGEST_KEPT = 64
-#: Words encoded by one call, so that the tokenizer's own records stay few.
+#: Words encoded by one call, so that the tokenizer's own records stay few, and those written as lines of one text.
 ENCODED_TOGETHER = 20_000
+LINES_TOGETHER = 1000
+
+_LINE = "\n"
+_MARKS = ".,;:!?\n"
+#: Letters and marks, and then perhaps a line's end, letters and marks.
+_SHAPE = re.compile(r"( ?[^\W\d_]+)([.,;:!?]*)(?:(\n)([^\W\d_]*)([.,;:!?]*))?")
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -38,49 +46,80 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+def _parts(word: str) -> list[str] | None:
+    """Parts that no token crosses, if the word is made of letters, marks and at most one line's end."""
+    shape = _SHAPE.fullmatch(word)
+    if shape is None:
+        return None
+    parts = [part for part in shape.groups() if part]
+    # Numbers other than digits pass for letters in the pattern.
+    return parts if all(part[-1] in _MARKS or part.lstrip(" ").isalpha() for part in parts) else None
+
+
 class BulkIds:
     """Ids of texts by a byte-level BPE file."""
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the other cores have tasks of their own
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
+        (self.line_id,) = self.tokenizer.encode(_LINE, add_special_tokens=False).ids
         self.places: dict[str, int] = {}
         self.flat = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int64)
 
-    def _add(self, words: list[str]) -> np.ndarray:
-        """Places of new words, which follow those of the words before."""
-        lengths, parts = [], []
-        for at in range(0, len(words), ENCODED_TOGETHER):
-            found = self.tokenizer.encode_batch_fast(words[at : at + ENCODED_TOGETHER], add_special_tokens=False)
-            ids = [one.ids for one in found]
-            lengths += map(len, ids)
-            parts.append(np.array(list(chain.from_iterable(ids)), np.uint32))
-        lengths = np.array(lengths, np.int64)
+    def _store(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Places of words whose ids, one after another, have these lengths."""
+        places = np.arange(len(self.starts), len(self.starts) + len(lengths))
         starts = len(self.flat) + np.cumsum(lengths) - lengths
-        places = np.arange(len(self.starts), len(self.starts) + len(words))
-        self.flat = np.concatenate([self.flat, *parts])
+        self.flat = np.concatenate([self.flat, ids.astype(np.uint32)])
         self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
         return places
 
+    def _store_plain(self, words: list[str]) -> np.ndarray:
+        """Places of words of letters alone, encoded as the lines of a text."""
+        lines = [_LINE.join(words[at : at + LINES_TOGETHER]) for at in range(0, len(words), LINES_TOGETHER)]
+        found = self.tokenizer.encode_batch_fast([line + _LINE for line in lines], add_special_tokens=False)
+        ids = np.array(list(chain.from_iterable(one.ids for one in found)), np.int64)
+        ends = np.flatnonzero(ids == self.line_id)
+        lengths = np.diff(ends, prepend=-1) - 1
+        return self._store(ids[ids != self.line_id], lengths)
+
+    def _store_any(self, words: list[str]) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        ids = [one.ids for one in found]
+        return self._store(np.array(list(chain.from_iterable(ids)), np.int64), np.array(list(map(len, ids)), np.int64))
+
+    def _learn(self, words: list[str], store: Callable[[list[str]], np.ndarray]) -> None:
+        """Remember new words, encoded in calls of bounded size."""
+        for at in range(0, len(words), ENCODED_TOGETHER):
+            part = words[at : at + ENCODED_TOGETHER]
+            self.places.update(zip(part, store(part).tolist()))
+
     def _places(self, words: list[str]) -> np.ndarray:
-        """Places of distinct words; new ones are encoded."""
-        get = self.places.get
-        places = np.fromiter((get(word, -1) for word in words), np.int64, len(words))
-        new = np.flatnonzero(places < 0)
-        if len(new):
-            fresh = [words[n] for n in new]
-            places[new] = self._add(fresh)
-            self.places.update((word, place) for word, place in zip(fresh, places[new].tolist()) if len(word) <= LONGEST_KEPT)
-        return places
+        """Places of distinct words; new ones are encoded, or put together from their parts."""
+        get, known = self.places.get, self.places
+        new = [word for word in words if word not in known]
+        if new:
+            plain = {word for word in new if word[word[:1] == " " :].isalpha()}
+            whole = {word: parts for word in new if word not in plain and (parts := _parts(word))}
+            pieces = {part for parts in whole.values() for part in parts if part not in known}
+            marks = [piece for piece in pieces if piece[-1] in _MARKS]
+            plain.update(piece for piece in pieces if piece[-1] not in _MARKS)
+            self._learn(list(plain), self._store_plain)
+            self._learn([*marks, *(word for word in new if word not in plain and word not in whole)], self._store_any)
+            counts = np.array([len(parts) for parts in whole.values()], np.int64)
+            if len(counts):
+                at = np.array([get(part) for parts in whole.values() for part in parts], np.int64)
+                ids = self.flat[ragged(self.starts[at], self.lengths[at])]
+                lengths = np.add.reduceat(self.lengths[at], np.cumsum(counts) - counts)
+                self.places.update(zip(whole, self._store(ids, lengths).tolist()))
+        return np.fromiter(map(get, words), np.int64, len(words))
 
     def _trim(self, words: list[str], places: np.ndarray) -> None:
         """Keep the words of the last batch alone once there are too many."""
-        if len(self.starts) <= KEPT_WORDS:
+        if len(self.places) <= KEPT_WORDS:
             return
         short = np.array([len(word) <= LONGEST_KEPT for word in words], bool)[: KEPT_WORDS // 2]
         words = [word for word, fits in zip(words, short) if fits]
