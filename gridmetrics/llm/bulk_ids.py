@@ -41,9 +41,12 @@ _SHAPE = re.compile(r"( ?[^\W\d_]+)([.,;:!?]*)(?:(\n)([^\W\d_]*)([.,;:!?]*))?")
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of the ranges that begin at ``starts`` and have these lengths, one after another."""
-    ends = np.cumsum(lengths)
+    ends = np.cumsum(lengths, dtype=np.int64)
     total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+    kind = np.int32 if max(total, int(starts.max(initial=0))) < 2**31 else np.int64
+    indices = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    indices += np.arange(total, dtype=kind)
+    return indices
 
 
 def _parts(word: str) -> list[str] | None:
@@ -66,7 +69,7 @@ class BulkIds:
         self.places: dict[str, int] = {}
         self.flat = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
-        self.lengths = np.empty(0, np.int64)
+        self.lengths = np.empty(0, np.int32)
 
     def _store(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Places of words whose ids, one after another, have these lengths."""
@@ -74,7 +77,7 @@ class BulkIds:
         starts = len(self.flat) + np.cumsum(lengths) - lengths
         self.flat = np.concatenate([self.flat, ids.astype(np.uint32)])
         self.starts = np.concatenate([self.starts, starts])
-        self.lengths = np.concatenate([self.lengths, lengths])
+        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
         return places
 
     def _store_plain(self, words: list[str]) -> np.ndarray:
@@ -135,7 +138,7 @@ class BulkIds:
         cut = pc.split_pattern(plain, " ")
         counts = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = cut.flatten().dictionary_encode()
-        codes, pieces = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+        codes, pieces = coded.indices.to_numpy(zero_copy_only=False).copy(), coded.dictionary.to_pylist()
         first = np.zeros(len(codes), bool)
         first[np.cumsum(counts) - counts] = True  # each text has a piece, if an empty one
         # The first piece of a text has no space before it.
@@ -148,13 +151,13 @@ class BulkIds:
             found = np.fromiter((numbers.setdefault(unit, len(numbers)) for one in units for unit in one), np.int64)
             lengths = counts.copy()
             lengths[odd] = [len(one) for one in units]
-            merged = np.empty(int(lengths.sum()), np.int64)
+            merged = np.empty(int(lengths.sum()), np.int32)
             is_odd = np.repeat(odd, lengths)
             merged[is_odd] = len(words) + found
             merged[~is_odd] = codes[np.repeat(~odd, counts)]
             words, codes, counts = words + list(numbers), merged, lengths
         used = np.flatnonzero(np.bincount(codes, minlength=len(words)))
-        numbers_used = np.zeros(len(words), np.int64)
+        numbers_used = np.zeros(len(words), np.int32)
         numbers_used[used] = np.arange(len(used))
         return [words[n] for n in used], numbers_used[codes], counts
 
@@ -167,7 +170,7 @@ class BulkIds:
         places = known[codes]
         lengths = self.lengths[places]
         ids = self.flat[ragged(self.starts[places], lengths)]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         bounds = np.concatenate([[0], np.cumsum(counts)])
         self._trim(words, known)
         return ids, np.diff(ends[bounds])
