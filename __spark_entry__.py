@@ -32,17 +32,39 @@ from gridmetrics.operators import (
     five_number,
     fold,
     merge_folds,
+    period_means,
+    rank_error,
     ranking_board,
     rankings,
+    rankings_by,
+    row_five_number,
     run_comparison,
     run_means,
+    sketched_quartiles,
     to_long,
+    value_positions,
+    with_positions,
 )
+from gridmetrics.operators.positions import null_safe_join
 from gridmetrics.operators.rank import ranking_orders
+from gridmetrics.operators.sketches import SKETCH_SIZE
 from gridmetrics.plans.questions import HOURLY_KEYS, YEARLY_KEYS
-from gridmetrics.schema import COUNTRY, CSV_HEADER, EVENT_TIME, HOUR, MONTH, TOP_K, YEAR
+from gridmetrics.schema import (
+    COUNTRY,
+    CSV_HEADER,
+    EVENT_TIME,
+    HOUR,
+    METRICS,
+    MONTH,
+    QUARTILES,
+    TOP_K,
+    YEAR,
+)
 from gridmetrics.sinks import (
-    append_run,
+    FoldStore,
+    append_runs,
+    key_digests,
+    key_json_changes,
     materialised,
     read_runs,
     to_key_json,
@@ -51,13 +73,18 @@ from gridmetrics.sinks import (
 )
 from gridmetrics.sinks.writers import TIME_OUTPUT
 from gridmetrics.sources import (
+    ingest_checked,
+    read_accepted,
+    read_clustered,
     read_countries,
     read_energy,
     read_lines,
+    read_quarantine,
     register_energy,
     to_energy_table,
     union_sources,
     write_both_formats,
+    write_clustered,
     write_energy,
 )
 from gridmetrics.workspace import new_folder
@@ -65,8 +92,8 @@ from gridmetrics.workspace import new_folder
 try:
     import corpus_pipeline
     from gridmetrics.llm import queries as llm_queries
-except ModuleNotFoundError as missing:  # the subpackage can be left out
-    if missing.name not in ("corpus_pipeline", "gridmetrics.llm"):
+except ModuleNotFoundError as missing:  # the subpackage, or a library that only it needs, can be absent
+    if (missing.name or "").startswith("gridmetrics.") and not missing.name.startswith("gridmetrics.llm"):
         raise
     LLM_QUERIES, LLM_ORACLE_SQL = {}, {}
 else:
@@ -96,12 +123,13 @@ def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, *others: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
         F.col("event_type").alias(COUNTRY),
         F.col("ts").alias(EVENT_TIME),
         _hundredths("value").alias("CarbonDirect"),
         F.get_json_object("props", "$.k").try_cast("double").alias("CFEpercent"),
+        *others,
     )
 
 
@@ -155,6 +183,19 @@ def yearly_fold_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish_fold(merge_folds(loads, keys=YEARLY_KEYS), YEARLY_KEYS)
 
 
+def yearly_fold_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads stored by id; one is sent spoiled and then right, one twice, and all are compacted in between."""
+    rows = with_parts(_shipments(spark, sf_dir), "year")
+    early = F.col(EVENT_TIME) < F.lit("1996-01-01").cast("timestamp_ntz")
+    store = FoldStore.like(rows, new_folder(spark, "loads"), YEARLY_KEYS)
+    store.send("earlier", fold(rows, YEARLY_KEYS))
+    store.send("later", fold(rows.where(~early), YEARLY_KEYS))
+    store.compact()
+    store.send("earlier", fold(rows.where(early), YEARLY_KEYS))
+    store.send("later", fold(rows.where(~early), YEARLY_KEYS))
+    return finish_fold(store.merged(), YEARLY_KEYS)
+
+
 # Monthly means and rankings
 
 
@@ -197,6 +238,12 @@ def board_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.ranking_board_sql(spark, "shipment_months")
 
 
+def ranking_board_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rankings of every country at once."""
+    rows = with_parts(_shipments(spark, sf_dir), "year", "month")
+    return rankings_by(period_means(rows, [COUNTRY, YEAR, MONTH]), [COUNTRY])
+
+
 def rankings_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four rankings, written to a folder each and read back."""
     with materialised(monthly_means_sql(spark, sf_dir)) as (monthly, _):
@@ -250,6 +297,56 @@ def five_number_exact_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quartiles_rounded(plans.hourly_summary_sql(spark, "event_data"))
 
 
+def row_quartiles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quartiles of the measurements themselves, per country and metric."""
+    return _quartiles_rounded(row_five_number(_shipments(spark, sf_dir)))
+
+
+def quartiles_from_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles merged from the stored sketches of a load a year, and whether their ranks keep the bound.
+
+    Only that check reads rows: the share of rows below a quartile, and at most equal to it.
+    """
+    rows = with_parts(_shipments(spark, sf_dir), "year")
+    loads = fold(rows, [YEAR, COUNTRY], sketch_size=SKETCH_SIZE)
+    store = FoldStore(spark, new_folder(spark, "sketches"), [COUNTRY], loads.drop(YEAR).schema)
+    store.send_many(loads, YEAR)
+    summary = sketched_quartiles(store.merged(), [COUNTRY])
+    held = null_safe_join(rows, summary, [COUNTRY])
+    shares = []
+    for metric in METRICS:
+        for p in QUARTILES:
+            mark, value = F.col(f"perc_{round(100 * p)}_{metric.name}"), F.col(metric.column)
+            below, upto = F.avg((value < mark).cast("double")), F.avg((value <= mark).cast("double"))
+            kept = (below - rank_error() <= p) & (p <= upto + rank_error())
+            shares.append(kept.alias(f"within_{round(100 * p)}_{metric.name}"))
+    exact = [f"{stem}_{metric.name}" for metric in METRICS for stem in ("n", "min", "max")]
+    return held.groupBy(COUNTRY, *exact).agg(*shares)
+
+
+def sorted_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every price of a country with its hours, its rank, and whether it stands in the middle of all hours."""
+    places = value_positions(_shipments(spark, sf_dir), [COUNTRY], "CarbonDirect")
+    first, size = F.col("first_position"), F.col("group_size")
+    middle = [F.floor((size - 1) / 2), F.ceil((size - 1) / 2)]
+    in_middle = [(first <= at) & (at < first + F.col("n")) for at in middle]
+    return places.select(
+        COUNTRY,
+        F.col("CarbonDirect").alias("price"),
+        F.col("n").alias("hours"),
+        (first + 1).alias("price_rank"),
+        (in_middle[0] | in_middle[1]).alias("in_middle"),
+    )
+
+
+def row_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shipment with its place by price among those of its return flag."""
+    names = ["l_orderkey", "l_linenumber"]
+    rows = _table(spark, sf_dir, "lineitem").select(*names, "l_returnflag", "l_extendedprice")
+    placed = with_positions(rows, [F.col("l_extendedprice").desc(), *names], ["l_returnflag"])
+    return placed.select(*names, "position", "group_size")
+
+
 def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_long(_profile(spark, sf_dir))
 
@@ -368,6 +465,42 @@ def monthly_country_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.monthly_means(with_event_time(read_countries(spark, path, "csv", country="A")))
 
 
+def country_skip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly question for one country, from a layout whose row groups a scan can pass over."""
+    path = new_folder(spark, "clustered")
+    write_clustered(to_energy_table(_shipments(spark, sf_dir)), path)
+    return plans.monthly_means(read_clustered(spark, path, country="A"))
+
+
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spoiled events ingested: rows, and rejected fields by column and reason, as observed and as written."""
+    rows = to_energy_table(_events(spark, sf_dir, "event_id"), keep=["event_id"])
+    turn = F.col("event_id") % 100
+    spoiled = rows.select(
+        F.when(turn == 1, F.lit("  ")).otherwise(F.col(COUNTRY)).alias("zone"),
+        F.when(turn == 2, F.concat(EVENT_TIME, F.lit("Z")))
+        .when(turn == 3, F.lit(None))
+        .when(turn == 4, F.lit("2021-02-30 00:00:00"))
+        .otherwise(F.col(EVENT_TIME))
+        .alias("stamp"),
+        F.when(turn.isin(4, 5), F.concat(F.col("CarbonDirect").cast("string"), F.lit(" g")))
+        .when(turn == 6, F.lit(""))
+        .otherwise(F.col("CarbonDirect").cast("string"))
+        .alias("co2"),
+        F.when(turn == 7, F.lit("n/a")).otherwise(F.col("CFEpercent").cast("string")).alias("share"),
+    )
+    names = {COUNTRY: "zone", EVENT_TIME: "stamp", "CarbonDirect": "co2", "CFEpercent": "share"}
+    path = new_folder(spark, "ingest")
+    report = ingest_checked(spoiled, path, names)
+    told = [("observed", *pair, n) for pair, n in report.counts.items() if n]
+    told += [("observed", "all", "accepted", report.accepted), ("observed", "all", "rejected", report.rejected)]
+    observed = spark.createDataFrame(told, "seen string, field string, reason string, n long")
+    fields = read_quarantine(spark, path).select(F.col("column").alias("field"), "reason")
+    kept = read_accepted(spark, path).select(F.lit("all").alias("field"), F.lit("accepted").alias("reason"))
+    written = union_sources(fields, kept).groupBy("field", "reason").agg(F.count("*").alias("n"))
+    return union_sources(observed, written.select(F.lit("written").alias("seen"), "field", "reason", "n"))
+
+
 def result_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly statistics written as one sorted CSV file under other column names, read back."""
     path = new_folder(spark, "yearly")
@@ -441,11 +574,11 @@ def hourly_sql_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The longest time of each of four queries, appended run by run and read back."""
+    """The longest time of each query, appended as one batch and read back."""
     path = new_folder(spark, "runs")
-    longest = _runs(spark, sf_dir).where("query <= 4").groupBy("query").agg(F.max("tempo_totale"))
-    for query, seconds in longest.collect():
-        append_run(spark, path, query, query + 1, seconds / 7)
+    longest = _runs(spark, sf_dir).groupBy("query").agg(F.max("tempo_totale").alias("longest"))
+    workers, seconds = F.col("query") + 1, F.col("longest") / 7
+    append_runs(longest.select("query", workers.alias("workers_number"), seconds.alias("tempo_totale")), path)
     return read_runs(spark, path)
 
 
@@ -456,6 +589,21 @@ def key_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_key_json(stats.select(*YEARLY_KEYS, *decimals), YEARLY_KEYS, prefix="yearly")
 
 
+def _export(rows: DataFrame) -> DataFrame:
+    stats = plans.yearly_stats(rows)
+    decimals = [F.col(name).cast("decimal(18, 4)").alias(name) for name in stats.columns[2:]]
+    return to_key_json(stats.select(*YEARLY_KEYS, *decimals), YEARLY_KEYS, prefix="yearly")
+
+
+def json_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From an export of the years up to 1997 to one of the years from 1994 on, in which 1996 was corrected."""
+    rows = _shipments(spark, sf_dir)
+    year = F.year(EVENT_TIME)
+    before = _export(rows.where(year <= 1997))
+    corrected = (year != 1996) | (F.col("CFEpercent") <= 5)
+    return key_json_changes(key_digests(before), _export(rows.where((year >= 1994) & corrected)))
+
+
 # Run times
 
 
@@ -486,6 +634,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "yearly_stats_sql": yearly_stats_sql,
         "yearly_fold": yearly_fold,
         "yearly_fold_merged": yearly_fold_merged,
+        "yearly_fold_replayed": yearly_fold_replayed,
         "monthly_means": monthly_means,
         "monthly_means_sql": monthly_means_sql,
         "monthly_fold": monthly_fold,
@@ -497,6 +646,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top5_price_sql": top5_price_sql,
         "ranking_board": board,
         "ranking_board_sql": board_sql,
+        "ranking_board_all": ranking_board_all,
         "rankings_written": rankings_written,
         "hourly_profile": hourly_profile,
         "hourly_profile_sql": hourly_profile_sql,
@@ -505,6 +655,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "five_number_exact_sql": five_number_exact_sql,
         "five_number_sorted_list": five_number_sorted_list,
         "five_number_approx": _summary("approx"),
+        "row_quartiles_exact": row_quartiles_exact,
+        "quartiles_from_loads": quartiles_from_loads,
+        "sorted_positions": sorted_positions,
+        "row_positions": row_positions,
         "wide_to_long": wide_to_long,
         "parse_event_time": parse_event_time,
         "time_fields": written_fields,
@@ -518,6 +672,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "both_formats": both_formats,
         "country_file_scan": country_file_scan,
         "monthly_country_files": monthly_country_files,
+        "country_skip_scan": country_skip_scan,
+        "ingest_rejects": ingest_rejects,
         "result_file": result_file,
         "yearly_job": yearly_job,
         "monthly_job": monthly_job,
@@ -528,6 +684,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hourly_sql_job": hourly_sql_job,
         "run_log": run_log,
         "key_json": key_json,
+        "key_json_changes": json_changes,
         "run_means": run_time_means,
         "run_comparison": run_time_comparison,
         **LLM_QUERIES,
@@ -649,12 +806,72 @@ _RUN_NAMES = """
 """
 
 
+_CORRECTED = f"(SELECT * FROM {_SHIPMENTS} WHERE year(l_shipdate) <> 1996 OR discount <= 5)"
+
+_LONG_ROWS = f"""
+SELECT l_returnflag AS Country, 'carbon-intensity' AS data, price AS value FROM {_SHIPMENTS}
+UNION ALL
+SELECT l_returnflag AS Country, 'cfe' AS data, discount AS value FROM {_SHIPMENTS}
+"""
+
+_MONTHLY_ALL = f"""
+SELECT l_returnflag AS Country, CAST(year(l_shipdate) AS INTEGER) AS record_year,
+       CAST(month(l_shipdate) AS INTEGER) AS record_month,
+       avg(price) AS avg_carbon_intensity, avg(discount) AS avg_cfe_percentage
+FROM {_SHIPMENTS}
+GROUP BY ALL
+"""
+_RANKED_BY_COUNTRY = " UNION ALL ".join(
+    f"""
+SELECT '{metric}_{way}' AS ranking, *, CAST(row_number() OVER (
+         PARTITION BY Country ORDER BY avg_{metric} {way} NULLS LAST, record_year, record_month
+       ) AS INTEGER) AS place
+FROM ({_MONTHLY_ALL}) QUALIFY place <= 5
+"""
+    for metric in ("carbon_intensity", "cfe_percentage")
+    for way in ("desc", "asc")
+)
+
+# Which events the query spoils, by the last two digits of their number.
+_REJECTS = """
+WITH spoiled AS (SELECT event_id % 100 AS turn FROM events),
+fields AS (
+  SELECT 'Country' AS field, 'missing' AS reason FROM spoiled WHERE turn = 1
+  UNION ALL SELECT 'event_time', 'unreadable' FROM spoiled WHERE turn IN (2, 4)
+  UNION ALL SELECT 'event_time', 'missing' FROM spoiled WHERE turn = 3
+  UNION ALL SELECT 'CarbonDirect', 'unreadable' FROM spoiled WHERE turn IN (4, 5)
+  UNION ALL SELECT 'CFEpercent', 'unreadable' FROM spoiled WHERE turn = 7
+  UNION ALL SELECT 'all', 'accepted' FROM spoiled WHERE turn NOT IN (1, 2, 3, 4, 5, 7)
+),
+counted AS (SELECT field, reason, count(*) AS n FROM fields GROUP BY ALL)
+SELECT 'written' AS seen, * FROM counted
+UNION ALL SELECT 'observed', * FROM counted
+UNION ALL SELECT 'observed', 'all', 'rejected', count(*) FROM spoiled WHERE turn IN (1, 2, 3, 4, 5, 7)
+"""
+
+
+def _key_json(yearly: str, only: str = "true") -> str:
+    return f"""
+SELECT 'yearly:' || Country || ':' || record_year AS key,
+       CAST(to_json({{
+                     'avg_carbon_intensity': CAST(avg_carbon_intensity AS DECIMAL(18, 4)),
+                     'min_carbon_intensity': CAST(min_carbon_intensity AS DECIMAL(18, 4)),
+                     'max_carbon_intensity': CAST(max_carbon_intensity AS DECIMAL(18, 4)),
+                     'avg_cfe_percentage': CAST(avg_cfe_percentage AS DECIMAL(18, 4)),
+                     'min_cfe_percentage': CAST(min_cfe_percentage AS DECIMAL(18, 4)),
+                     'max_cfe_percentage': CAST(max_cfe_percentage AS DECIMAL(18, 4))
+       }}) AS VARCHAR) AS value
+FROM ({yearly}) WHERE {only}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "yearly_stats": _YEARLY,
         "yearly_stats_sql": _YEARLY,
         "yearly_fold": _YEARLY,
         "yearly_fold_merged": _YEARLY,
+        "yearly_fold_replayed": _YEARLY,
         "monthly_means": _MONTHLY_TIMED,
         "monthly_means_sql": _MONTHLY_PLAIN,
         "monthly_fold": _MONTHLY_PLAIN,
@@ -666,6 +883,7 @@ def oracle_sql() -> dict[str, str]:
         "top5_price_sql": _ranked(_MONTHLY_PLAIN, "carbon_intensity", "desc"),
         "ranking_board": _ranked_all(_MONTHLY_TIMED),
         "ranking_board_sql": _ranked_all(_MONTHLY_PLAIN),
+        "ranking_board_all": _RANKED_BY_COUNTRY,
         "rankings_written": _ranked_all(_MONTHLY_PLAIN),
         "hourly_profile": _PROFILE.replace("date_trunc('second', ts)", "ts"),
         "hourly_profile_sql": _PROFILE_UNTIMED,
@@ -674,6 +892,37 @@ def oracle_sql() -> dict[str, str]:
         "five_number_exact_sql": _SUMMARY_EXACT,
         "five_number_sorted_list": _SUMMARY_EXACT,
         "five_number_approx": _SUMMARY_ELEMENT,
+        "row_quartiles_exact": _SUMMARY.format(quantile="quantile_cont", long=_LONG_ROWS),
+        "quartiles_from_loads": f"""
+SELECT l_returnflag AS Country,
+       count(price) AS n_carbon_intensity, min(price) AS min_carbon_intensity,
+       max(price) AS max_carbon_intensity,
+       count(discount) AS n_cfe_percentage, min(discount) AS min_cfe_percentage,
+       max(discount) AS max_cfe_percentage,
+       true AS within_25_carbon_intensity, true AS within_50_carbon_intensity,
+       true AS within_75_carbon_intensity, true AS within_25_cfe_percentage,
+       true AS within_50_cfe_percentage, true AS within_75_cfe_percentage
+FROM {_SHIPMENTS} GROUP BY 1
+""",
+        "sorted_positions": f"""
+WITH counted AS (
+  SELECT l_returnflag AS Country, price, count(*) AS hours FROM {_SHIPMENTS} GROUP BY ALL
+), placed AS (
+  SELECT *, CAST(sum(hours) OVER w - hours AS BIGINT) AS first,
+         sum(hours) OVER (PARTITION BY Country) AS total
+  FROM counted WINDOW w AS (PARTITION BY Country ORDER BY price)
+)
+SELECT Country, price, hours, first + 1 AS price_rank,
+       (first <= (total - 1) // 2 AND (total - 1) // 2 < first + hours)
+       OR (first <= total // 2 AND total // 2 < first + hours) AS in_middle
+FROM placed
+""",
+        "row_positions": """
+SELECT l_orderkey, l_linenumber, row_number() OVER w - 1 AS position,
+       count(*) OVER (PARTITION BY l_returnflag) AS group_size
+FROM lineitem
+WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber)
+""",
         "wide_to_long": _LONG,
         "parse_event_time": """
 WITH texts AS (
@@ -736,6 +985,8 @@ GROUP BY format, l_returnflag
 """,
         "country_file_scan": _YEARLY,
         "monthly_country_files": _MONTHLY_TIMED,
+        "country_skip_scan": _MONTHLY_TIMED,
+        "ingest_rejects": _REJECTS,
         "result_file": f"""
 SELECT * RENAME (Country AS country, record_year AS year) FROM ({_YEARLY})
 """,
@@ -748,19 +999,16 @@ SELECT * RENAME (Country AS country, record_year AS year) FROM ({_YEARLY})
         "hourly_sql_job": _SUMMARY_EXACT,
         "run_log": f"""
 SELECT query, query + 1 AS workers_number, round(max(t) / 7, 6) AS tempo_totale
-FROM ({_RUNS}) WHERE query <= 4 GROUP BY query
+FROM ({_RUNS}) GROUP BY query
 """,
-        "key_json": f"""
-SELECT 'yearly:' || Country || ':' || record_year AS key,
-       CAST(to_json({{
-                     'avg_carbon_intensity': CAST(avg_carbon_intensity AS DECIMAL(18, 4)),
-                     'min_carbon_intensity': CAST(min_carbon_intensity AS DECIMAL(18, 4)),
-                     'max_carbon_intensity': CAST(max_carbon_intensity AS DECIMAL(18, 4)),
-                     'avg_cfe_percentage': CAST(avg_cfe_percentage AS DECIMAL(18, 4)),
-                     'min_cfe_percentage': CAST(min_cfe_percentage AS DECIMAL(18, 4)),
-                     'max_cfe_percentage': CAST(max_cfe_percentage AS DECIMAL(18, 4))
-       }}) AS VARCHAR) AS value
-FROM ({_YEARLY})
+        "key_json": _key_json(_YEARLY),
+        "key_json_changes": f"""
+SELECT key, CASE WHEN old.value IS NULL THEN 'added' WHEN new.value IS NULL THEN 'dropped'
+                 ELSE 'changed' END AS change, new.value AS value
+FROM ({_key_json(_YEARLY, "record_year <= 1997")}) AS old
+FULL JOIN ({_key_json(_YEARLY.replace(_SHIPMENTS, _CORRECTED), "record_year >= 1994")}) AS new
+USING (key)
+WHERE old.value IS DISTINCT FROM new.value
 """,
         "run_means": f"""
 SELECT query, query_name, workers_number, avg(t) AS tempo_totale

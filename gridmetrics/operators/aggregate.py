@@ -48,9 +48,12 @@ def fold(
     keys: Sequence[str],
     metrics: Sequence[Metric] = METRICS,
     extremes: bool = True,
+    sketch_size: int | None = None,
 ) -> DataFrame:
     """Accumulators per key: sum and count of every metric, and its minimum and maximum.
 
+    With ``sketch_size`` there is also a KLL sketch of the values, from which quantiles can be read
+    (see ``sketched_quartiles``). Its bytes are bounded by the size, however many rows there are.
     Unlike finished means, accumulators of separate loads can be combined; see ``merge_folds``.
     """
     columns = []
@@ -64,9 +67,16 @@ def fold(
                 F.min(metric.column).alias(f"min_{metric.name}"),
                 F.max(metric.column).alias(f"max_{metric.name}"),
             ]
+        if sketch_size:
+            value = F.col(metric.column).cast("double")
+            number = F.when(~F.isnan(value), value)
+            columns.append(F.kll_sketch_agg_double(number, sketch_size).alias(f"sketch_{metric.name}"))
     return df.groupBy(*keys).agg(*columns)
 
 
+_COMBINE = {"min": F.min, "max": F.max, "sketch": F.kll_merge_agg_double}
+
+
 def merge_folds(*folds: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Combine accumulators made by ``fold`` over disjoint rows."""
     combined = union_sources(*folds)
@@ -74,7 +84,7 @@ def merge_folds(*folds: DataFrame, keys: Sequence[str]) -> DataFrame:
     for name in combined.columns:
         if name in keys:
             continue
-        combine = {"min": F.min, "max": F.max}.get(name.partition("_")[0], F.sum)
+        combine = _COMBINE.get(name.partition("_")[0], F.sum)
         columns.append(combine(name).alias(name))
     return combined.groupBy(*keys).agg(*columns)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmetrics.schema import METRICS, MONTH, TOP_K, YEAR, Metric
@@ -75,3 +75,24 @@ def ranking_board(
         for name, ranked in rankings(df, metrics, k, ties).items()
     ]
     return union_sources(*tagged)
+
+
+def rankings_by(
+    df: DataFrame,
+    keys: Sequence[str],
+    metrics: Sequence[Metric] = METRICS,
+    k: int = TOP_K,
+    ties: Sequence[str] = PERIOD,
+) -> DataFrame:
+    """Highest and lowest k rows of every metric for every key at once, with ``ranking`` and ``place`` (from 1).
+
+    A row number with a bound lets Spark keep k rows per key in each task before it shuffles, so a
+    key's rows never meet, however many they are. NULL is a key like any other. A key with fewer than k rows
+    has all of them. The branches share one scan and one aggregation, as in ``ranking_board``.
+    """
+    tagged = []
+    for name, order in ranking_orders(metrics, ties).items():
+        placed = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).alias("place")
+        ranked = df.select(F.lit(name).alias("ranking"), placed, "*").where(F.col("place") <= k)
+        tagged.append(ranked)
+    return union_sources(*tagged)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,12 +19,15 @@ from gridmetrics.sources.readers import PLACE, checked_format, read_energy
 
 
 def to_energy_table(
-    df: DataFrame, columns: Mapping[str, str] | None = None, time_format: str = TIME_FORMAT
+    df: DataFrame,
+    columns: Mapping[str, str] | None = None,
+    time_format: str = TIME_FORMAT,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Select, rename and cast raw columns to the energy schema.
+    """Select, rename and cast raw columns to the energy schema, followed by those in ``keep``.
 
     ``columns`` maps energy column to raw column; columns left out keep their name. Text that is
-    not a number becomes NULL. Times become text in the standard format, zoned ones in UTC; text
+    not a number becomes NULL (see ``quarantine`` for an ingest that reports it). Times become text in the standard format, zoned ones in UTC; text
     already in that format passes unread.
     """
     names = {field.name: field.name for field in ENERGY_SCHEMA} | dict(columns or {})
@@ -43,7 +46,7 @@ def to_energy_table(
         else:
             value = value.try_cast(field.dataType)
         selected.append(value.alias(field.name))
-    return df.select(*selected)
+    return df.select(*selected, *keep)
 
 
 def write_energy(
