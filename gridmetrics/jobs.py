@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import time
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +28,7 @@ from gridmetrics.plans import (
 )
 from gridmetrics.schema import COUNTRY, HOUR, MONTH, MONTH_TIMESTAMP, YEAR
 from gridmetrics.session import energy_session
-from gridmetrics.sinks import append_run, materialised, write_outputs
+from gridmetrics.sinks import append_run, kept, write_outputs
 from gridmetrics.sources import read_energy, read_lines, register_energy
 from gridmetrics.variants import VARIANTS, Variant
 
@@ -51,23 +51,31 @@ _GROUPED = {
 _VIEWS = "gridmetrics_job_"
 
 
-def _view(df: DataFrame) -> str:
-    """A view under a name that no user has; see ``own_views``."""
-    name = f"{_VIEWS}{uuid.uuid4().hex}"
-    register_energy(df, name)
-    return name
+class OwnViews:
+    """Views of one job, under names that no user and no other job has."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._names = spark, []
+
+    def __call__(self, df: DataFrame) -> str:
+        name = f"{_VIEWS}{uuid.uuid4().hex}"
+        register_energy(df, name)
+        self._names.append(name)
+        return name
+
+    def drop(self) -> None:
+        while self._names:
+            self._spark.catalog.dropTempView(self._names.pop())
 
 
 @contextmanager
-def own_views(spark: SparkSession) -> Iterator[None]:
-    """Drop the views made inside."""
-    before = {table.name for table in spark.catalog.listTables() if table.isTemporary}
+def own_views(spark: SparkSession) -> Iterator[OwnViews]:
+    """Makes views, and drops exactly those at the end; other jobs of the session keep theirs."""
+    views = OwnViews(spark)
     try:
-        yield
+        yield views
     finally:
-        for table in spark.catalog.listTables():
-            if table.name.startswith(_VIEWS) and table.name not in before:
-                spark.catalog.dropTempView(table.name)
+        views.drop()
 
 
 def load(
@@ -83,24 +91,28 @@ def load(
     return canonical_country(energy)
 
 
-def grouped(spark: SparkSession, energy: DataFrame, variant: Variant) -> DataFrame:
+def grouped(
+    spark: SparkSession, energy: DataFrame, variant: Variant, view: Callable[[DataFrame], str]
+) -> DataFrame:
     build = _GROUPED[variant.question, variant.form]
     if variant.form == "sql":
-        return build(spark, _view(energy))
+        return build(spark, view(energy))
     return build(energy)
 
 
-def results(spark: SparkSession, table: DataFrame, variant: Variant) -> dict[str, DataFrame]:
+def results(
+    spark: SparkSession, table: DataFrame, variant: Variant, view: Callable[[DataFrame], str]
+) -> dict[str, DataFrame]:
     """Results of a question by name, from its grouped table."""
     if variant.question == "yearly":
         return {"stats": table}
     if variant.question == "monthly":
         if variant.form == "sql":
-            return rankings_sql(spark, _view(table))
+            return rankings_sql(spark, view(table))
         series = {"timeseries": table} if MONTH_TIMESTAMP in table.columns else {}
         return rankings(table) | series
     if variant.form == "sql":
-        summary = profile_summary_sql(spark, _view(table))
+        summary = profile_summary_sql(spark, view(table))
     else:
         summary = five_number(table, method=variant.method)
     return {"summary": summary, "hourly": table}
@@ -136,8 +148,8 @@ def run(
     variant = VARIANTS[number]
     started = time.perf_counter()
     energy = load(spark, source, variant, country if variant.question == "monthly" else None)
-    with own_views(spark), materialised(grouped(spark, energy, variant)) as (table, _):
-        outputs = results(spark, table, variant)
+    with own_views(spark) as view, kept(grouped(spark, energy, variant, view)) as table:
+        outputs = results(spark, table, variant, view)
         base = f"{target.rstrip('/')}/{variant.name.lower()}"
         paths = write_outputs(outputs, base, single_file, result_orders())
         seconds = time.perf_counter() - started

@@ -17,21 +17,28 @@ TIME_OUTPUT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
 @contextmanager
-def materialised(df: DataFrame) -> Iterator[tuple[DataFrame, int]]:
-    """Compute a result once for several uses; yields it with its row count.
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """A result that is computed for the first of several uses and kept for the others.
 
     The copy lives on executors and is recomputed from the input where one is lost. A result its
     owner already holds is left to the owner.
     """
     level = df.storageLevel
     if level.useMemory or level.useDisk:
-        yield df, df.count()
+        yield df
         return
-    kept = df.persist()
+    held = df.persist()
     try:
-        yield kept, kept.count()
+        yield held
     finally:
-        kept.unpersist()
+        held.unpersist()
+
+
+@contextmanager
+def materialised(df: DataFrame) -> Iterator[tuple[DataFrame, int]]:
+    """As ``kept``, but computed at once; yields the result with its row count."""
+    with kept(df) as held:
+        yield held, held.count()
 
 
 def together(action: Callable[[T], None], items: Iterable[T]) -> None:

@@ -1,5 +1,10 @@
 """All numbered variants from input files to result files."""
 
+import os
+import subprocess
+import sys
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from gridmetrics import jobs
@@ -8,6 +13,8 @@ from gridmetrics.sinks import read_runs
 from gridmetrics.sources import write_both_formats
 from gridmetrics.variants import VARIANTS
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def _measurements():
     for label, base in (("Italy", 300.0), ("SE", 10.0)):
@@ -104,3 +111,31 @@ def test_command_line(spark, tmp_path, monkeypatch):
     found = _lines(spark, str(tmp_path / "out" / "query_1_df_csv" / "stats"))
     assert found[1:] == ["IT,2021,1.0,1.0,1.0,2.0,2.0,2.0"]
     assert read_runs(spark, str(tmp_path / "log")).first().query == 11
+
+
+def test_jobs_of_one_session_keep_their_views(spark, inputs, tmp_path):
+    """The end of a job drops its own views only, also while another one runs."""
+    with jobs.own_views(spark) as first:
+        name = first(spark.range(3).toDF("n"))
+        with jobs.own_views(spark) as second:
+            other = second(spark.range(2).toDF("n"))
+        assert spark.table(name).count() == 3
+        assert not spark.catalog.tableExists(other)
+    assert not spark.catalog.tableExists(name)
+    with ThreadPoolExecutor(3) as pool:
+        runs = [
+            pool.submit(jobs.run, spark, number, inputs["parquet"], str(tmp_path / f"t{n}"))
+            for n, number in enumerate((5, 6, 7, 7, 6, 5))
+        ]
+        paths = [run.result() for run in runs]
+    for one, again in zip(paths, reversed(paths)):
+        for result, path in one.items():
+            left, right = (sorted(map(tuple, spark.read.csv(p, header=True).collect())) for p in (path, again[result]))
+            assert left == right != []
+
+
+def test_entry_without_the_libraries_of_the_subpackage():
+    code = "import sys; sys.modules['tokenizers'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.LLM_QUERIES))"
+    told = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+    energy, llm = map(int, told.stdout.split())
+    assert energy > 50 and llm == 0
