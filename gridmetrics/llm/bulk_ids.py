@@ -1,11 +1,14 @@
 """Token ids of whole batches of texts, with the tokenizer called for new words only.
 
-Texts are cut before a space that follows other characters than white space, where a byte-level BPE
+:class:`BulkIds` is for a byte-level BPE that keeps white space: texts are cut before a space that follows other characters than white space, where a byte-level BPE
 begins a new token however the text goes on. Arrow cuts and numbers the words of a batch; those that
 the worker has not met yet go to the tokenizer together, and the ids of the batch are gathered by
 offsets. Texts where a space follows white space are cut by a pattern instead. Every text is encoded
 whole, with the tokenizer's own defaults, special strings among them (the file must have none with
 white space inside).
+
+:class:`BulkWordIds` is for a tokenizer that drops white space, lower-cases, splits letters from marks and lets no
+token cross a space. There texts are simply cut at spaces and line ends.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ import re
 from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +38,8 @@ ENCODED_TOGETHER = 20_000
 LINES_TOGETHER = 1000
 
 _LINE = "\n"
-_MARKS = ".,;:!?\n"
+_SIGNS = ".,;:!?"
+_MARKS = _SIGNS + _LINE
 #: Letters and marks, and then perhaps a line's end, letters and marks.
 _SHAPE = re.compile(r"( ?[^\W\d_]+)([.,;:!?]*)(?:(\n)([^\W\d_]*)([.,;:!?]*))?")
 
@@ -62,10 +67,13 @@ def _parts(word: str) -> list[str] | None:
 class BulkIds:
     """Ids of texts by a byte-level BPE file."""
 
+    #: What stands between words of letters that are encoded as one text.
+    between = _LINE
+
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the other cores have tasks of their own
         self.tokenizer = Tokenizer.from_file(path)
-        (self.line_id,) = self.tokenizer.encode(_LINE, add_special_tokens=False).ids
+        (self.between_id,) = self.tokenizer.encode(self.between, add_special_tokens=False).ids
         self.places: dict[str, int] = {}
         self.flat = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
@@ -82,12 +90,19 @@ class BulkIds:
 
     def _store_plain(self, words: list[str]) -> np.ndarray:
         """Places of words of letters alone, encoded as the lines of a text."""
-        lines = [_LINE.join(words[at : at + LINES_TOGETHER]) for at in range(0, len(words), LINES_TOGETHER)]
-        found = self.tokenizer.encode_batch_fast([line + _LINE for line in lines], add_special_tokens=False)
+        lines = [self.between.join(words[at : at + LINES_TOGETHER]) for at in range(0, len(words), LINES_TOGETHER)]
+        found = self.tokenizer.encode_batch_fast([line + self.between for line in lines], add_special_tokens=False)
         ids = np.array(list(chain.from_iterable(one.ids for one in found)), np.int64)
-        ends = np.flatnonzero(ids == self.line_id)
+        ends = np.flatnonzero(ids == self.between_id)
         lengths = np.diff(ends, prepend=-1) - 1
-        return self._store(ids[ids != self.line_id], lengths)
+        return self._store(ids[ids != self.between_id], lengths)
+
+    def _plain(self, word: str) -> bool:
+        """Whether a word is made of letters alone."""
+        return word[word[:1] == " " :].isalpha()
+
+    def _parts(self, word: str) -> list[str] | None:
+        return _parts(word)
 
     def _store_any(self, words: list[str]) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -105,13 +120,14 @@ class BulkIds:
         get, known = self.places.get, self.places
         new = [word for word in words if word not in known]
         if new:
-            plain = {word for word in new if word[word[:1] == " " :].isalpha()}
-            whole = {word: parts for word in new if word not in plain and (parts := _parts(word))}
+            plain = {word for word in new if self._plain(word)}
+            whole = {word: parts for word in new if word not in plain and (parts := self._parts(word))}
             pieces = {part for parts in whole.values() for part in parts if part not in known}
             marks = [piece for piece in pieces if piece[-1] in _MARKS]
             plain.update(piece for piece in pieces if piece[-1] not in _MARKS)
             self._learn(list(plain), self._store_plain)
             self._learn([*marks, *(word for word in new if word not in plain and word not in whole)], self._store_any)
+            whole = {word: parts for word, parts in whole.items() if parts != [word]}
             counts = np.array([len(parts) for parts in whole.values()], np.int64)
             if len(counts):
                 at = np.array([get(part) for parts in whole.values() for part in parts], np.int64)
@@ -157,9 +173,9 @@ class BulkIds:
             merged[~is_odd] = codes[np.repeat(~odd, counts)]
             words, codes, counts = words + list(numbers), merged, lengths
         used = np.flatnonzero(np.bincount(codes, minlength=len(words)))
-        numbers_used = np.zeros(len(words), np.int32)
-        numbers_used[used] = np.arange(len(used))
-        return [words[n] for n in used], numbers_used[codes], counts
+        renumbered = np.zeros(len(words), np.int32)
+        renumbered[used] = np.arange(len(used))
+        return [words[n] for n in used], renumbered[codes], counts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of ids of each; null counts as empty."""
@@ -176,6 +192,39 @@ class BulkIds:
         return ids, np.diff(ends[bounds])
 
 
+class BulkWordIds(BulkIds):
+    """Ids of texts by a file whose tokens never hold white space."""
+
+    between = " , "
+
+    def _plain(self, word: str) -> bool:
+        """Letters alone in one case, which no normal form joins or changes."""
+        return word.isascii() and word.isalpha() and word.islower()
+
+    def _parts(self, word: str) -> list[str] | None:
+        """The letters and the marks after them, which the tokenizer splits off; the case of A-Z does not count for it."""
+        stem = word.rstrip(_SIGNS)
+        marks = word[len(stem) :]
+        if not stem.isalpha():
+            return None
+        if stem.isascii():
+            return [stem.lower(), marks] if marks else [stem.lower()]
+        if stem.lower().isalpha() and is_normalized("NFC", stem):  # else a sign may join the marks
+            return [stem, marks] if marks else [stem]
+        return None
+
+    def _cut(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        counts = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), counts
+
+
 @lru_cache(maxsize=2)
 def bulk_ids(path: str) -> BulkIds:
     return BulkIds(path)
+
+
+@lru_cache(maxsize=2)
+def bulk_word_ids(path: str) -> BulkWordIds:
+    return BulkWordIds(path)

@@ -16,103 +16,47 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import count
-from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from gridmetrics.llm.batches import bound_batches, map_batches
-from gridmetrics.llm.kept import LONGEST_KEPT, Kept
+from gridmetrics.llm.bulk_ids import bulk_word_ids
 from gridmetrics.llm.storage import checkpointed
 
-#: Words a worker keeps, and pieces of one length that are ranked together.
-KEPT_WORDS = 250_000
+#: Pieces of one length that are ranked together.
 RANKED_TOGETHER = 1000
-ENCODED_TOGETHER = 20_000
-
-
-_MARKS = ".,;:!?"
-
-
-class _Ids:
-    """Ids, as little-endian 32-bit numbers, of what stands between spaces."""
-
-    def __init__(self, path: str) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self.stems = Kept(lambda stem: self._bytes(self.tokenizer.encode(stem, add_special_tokens=False).ids), KEPT_WORDS)
-        self.words = Kept(self._word, KEPT_WORDS)
-
-    @staticmethod
-    def _bytes(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, str]:
-        """A word and the marks after it, which the tokenizer splits off; the case of A-Z does not count for it."""
-        stem = word.rstrip(_MARKS)
-        if stem.isascii() and stem.isalpha():
-            return stem.lower(), word[len(stem) :]
-        if stem.isalpha() and stem.lower().isalpha() and is_normalized("NFC", stem):  # else a sign may join the marks
-            return stem, word[len(stem) :]
-        return word, ""
-
-    def _word(self, word: str) -> bytes:
-        stem, marks = self._parts(word)
-        return self.stems[stem] + self.stems[marks] if marks else self.stems[stem]
-
-    def learn(self, texts: list[str]) -> None:
-        """Encode what is new in some texts at once, which costs less than word by word."""
-        known, older = self.words, self.words.older
-        words = {word for text in texts for word in text.split(" ") if word not in known and word not in older}
-        stems = {stem for word in words for stem in self._parts(word)[:1] if len(stem) <= LONGEST_KEPT}
-        new = [stem for stem in stems if stem not in self.stems and stem not in self.stems.older]
-        for at in range(0, len(new), ENCODED_TOGETHER):
-            part = new[at : at + ENCODED_TOGETHER]
-            for stem, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.stems.keep(stem, self._bytes(found.ids))
-
-
-@lru_cache(maxsize=2)
-def _ids(path: str) -> _Ids:
-    return _Ids(path)
-
-
-def document_ids(text: str | None, path: str, closing_id: int) -> bytes:
-    """Ids of a text and the closing id.
-
-    The tokenizer must drop white space, lower-case, split letters from marks and let no token cross a space.
-    """
-    words = map(_ids(path).words.__getitem__, text.split(" ")) if text else ()
-    return b"".join([*words, np.array([closing_id], "<u4").tobytes()])
 
 
 def token_pieces(
     docs: DataFrame, path: str, capacity: int, closing_id: int, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = True
 ) -> DataFrame:
-    """Per piece: the id, ``start``, ``length``, ``ids_crc32``, ``doc_tokens`` and, if asked for, ``ids``."""
+    """Per piece: the id, ``start``, ``length``, ``ids_crc32``, ``doc_tokens`` and, if asked for, ``ids``.
+
+    The tokenizer must drop white space, lower-case, split letters from marks and let no token cross a space.
+    """
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     step = 4 * capacity
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, starts, lengths, sums, totals, parts = [], [], [], [], [], []
-        texts = batch.column(1).to_pylist()
-        _ids(path).learn([text for text in texts if text])
-        for row, text in enumerate(texts):
-            ids = document_ids(text, path, closing_id)
-            for at in range(0, len(ids), step):
-                part = ids[at : at + step]
+        ids, counts = bulk_word_ids(path).encode(batch.column(1))
+        ids = np.insert(ids, np.cumsum(counts), closing_id).astype("<u4", copy=False)
+        data, begin = memoryview(ids.tobytes()), 0
+        for row, count in enumerate((counts + 1).tolist()):
+            for at in range(begin, begin + 4 * count, step):
+                part = data[at : min(at + step, begin + 4 * count)]
                 rows.append(row)
-                starts.append(at // 4)
+                starts.append((at - begin) // 4)
                 lengths.append(len(part) // 4)
                 sums.append(zlib.crc32(part))
-                totals.append(len(ids) // 4)
+                totals.append(count)
                 if with_ids:
                     parts.append(np.frombuffer(part, "<u4").astype(np.int32))
+            begin += 4 * count
         columns = [batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals))]
         names = ["id", "start", "length", "ids_crc32", "doc_tokens"]
         if with_ids:

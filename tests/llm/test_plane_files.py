@@ -15,6 +15,7 @@ from gridmetrics.llm import bulk_ids, plane_files
 from gridmetrics.workspace import new_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 SIGNS = [*"ab 'lrestveéß日\n\t1!-. 　\x1c😀\x85", "<|endoftext|>", "  ", " the", "  "]
 
 
@@ -28,6 +29,19 @@ def test_bulk_ids_equal_the_tokenizer(texts):
     assert ids.tolist() == [i for one in want for i in one]
 
 
+WORD_SIGNS = [*"abXYZ 'ſéßİΣσ日1!-.,?_*", "\n", "\t", "\x85", "\u0301", "e\u0301", "\u3000", " The", "<|endoftext|>", "<|STARTOFTEXT|>", "it's", "<", "|>"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(WORD_SIGNS), max_size=14).map("".join) | st.none(), max_size=12))
+def test_bulk_word_ids_equal_the_tokenizer(texts):
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    want = [tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
+    ids, counts = bulk_ids.bulk_word_ids(WORD_BPE).encode(pa.array(texts, pa.string()))
+    assert counts.tolist() == [len(one) for one in want]
+    assert ids.tolist() == [i for one in want for i in one]
+
+
 def test_words_forgotten_are_encoded_again(monkeypatch):
     monkeypatch.setattr(bulk_ids, "KEPT_WORDS", 10)
     encoder, tokenizer = bulk_ids.BulkIds(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
