@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 #: Rows and bytes of one Arrow batch, unless the session says otherwise. A single longer row is a batch.
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
+#: Bytes of texts worked on together (a longer text alone); the more, the fewer words are looked up twice.
+GATHERED_BYTES = 12 << 20
 
 
 def bound_batches(df: DataFrame) -> None:
@@ -32,3 +34,16 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
 
     bound_batches(df)
     return df.mapInArrow(run, schema)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], least: int = GATHERED_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have as many bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= least:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)

@@ -6,11 +6,14 @@ probabilities. Embeddings and layer are trained together in numpy by stochastic
 whole texts of a bounded sample of labelled rows. A held-back part of the sample fits a temperature, so
 that probabilities are calibrated, and the probability below which a prediction is rejected.
 
-As the layer is linear, a word's n-grams add up to one short vector of class scores, which workers keep
-by word. Prediction runs over whole texts in Arrow batches, without a shuffle.
+As the layer is linear, a word's n-grams add up to one short vector of class scores. Texts are cut by Arrow,
+batch by batch; the distinct pieces that a worker does not know yet are scored together in numpy, and the
+vectors of a text's pieces are added up. Prediction runs over whole texts, without a shuffle; a worker
+keeps pieces up to a number of bytes, whatever the number of languages.
 
 A text that is null or has no letter is ``und`` with score 0 and not accepted. Without labelled rows all
-texts are. Rows come out one for one; a null id stays. Ties go to the first language in order.
+texts are. Rows come out one for one, repeated ones too, whatever other columns there are; a null id stays. Ties
+go to the first language in order. Rows that share an id count once in the sample.
 """
 
 from __future__ import annotations
@@ -23,11 +26,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmetrics.llm.batches import bound_batches
-from gridmetrics.llm.kept import Kept
+from gridmetrics.llm.kept import LONGEST_KEPT, Kept
+from gridmetrics.llm.sampling import lowest_places
 
 #: Labelled rows that the model is fitted on, the first by a hash of their id.
 TRAINING_ROWS = 1024
@@ -42,8 +47,10 @@ WRONG = 0.01
 #: Steps at least, texts of one step, and the rates of the layer and of the embeddings at the start.
 STEPS, BATCH, LAYER_RATE, EMBEDDING_RATE = 600, 16, 1.0, 50.0
 UNKNOWN = "und"
-#: Words a worker keeps, and words of a text that are added up at once.
-KEPT_WORDS, SUMMED = 200_000, 20_000
+#: Bytes of the vectors that a worker keeps, and words of the training texts.
+KEPT_BYTES, KEPT_WORDS = 16 << 20, 200_000
+#: Bytes of words whose n-grams are looked up at once.
+SCORED_TOGETHER = 1 << 20
 
 
 def word_grams(word: str) -> list[int]:
@@ -63,20 +70,49 @@ class LanguageModel:
     temperature: float
     threshold: float
 
-    def word_scores(self) -> Callable[[str], np.ndarray]:
-        """Class scores that a word adds, and the number of its n-grams."""
-        scores = self.embeddings @ self.layer
-        width = len(self.languages)
-
-        def of(word: str) -> np.ndarray:
-            grams = word_grams(word)
-            out = np.zeros(width + 1)
-            if grams:
-                out[:width] = scores[grams].sum(axis=0)
-                out[width] = len(grams)
-            return out
-
-        return of
+    def piece_scores(self, pieces: list[str]) -> np.ndarray:
+        """Class scores that each piece of text adds, and last the number of its n-grams."""
+        scores = np.c_[self.embeddings @ self.layer, np.ones(BUCKETS)]
+        out = np.zeros((len(pieces), scores.shape[1]))
+        words = [(n, word) for n, piece in enumerate(pieces) for word in piece.split() if any(map(str.isalpha, word))]
+        at = 0
+        while at < len(words):
+            owners, parts, size = [], [], 0
+            while at < len(words) and (size < SCORED_TOGETHER or not parts):
+                owners.append(words[at][0])
+                parts.append(f"<{words[at][1].lower()}>".encode())
+                size += len(parts[-1])
+                at += 1
+            for rows, word_of in gram_rows(parts):
+                found = scores[rows]
+                owner = np.array(owners)[word_of]
+                for column in range(out.shape[1]):
+                    out[:, column] += np.bincount(owner, found[:, column], len(pieces))
+        return out
+
+
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def gram_rows(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length of n-grams, matrix rows of all n-grams of marked words, and the word of each; as ``word_grams``."""
+    data = np.frombuffer(b"".join(words), np.uint8)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    word_of = np.repeat(np.arange(len(words)), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(data))
+    for n in GRAMS:
+        places = np.flatnonzero(left >= n)
+        crc = np.full(len(places), n ^ 0xFFFFFFFF, np.uint32)
+        for step in range(n):
+            crc = _CRC[(crc ^ data[places + step]) & 255] ^ (crc >> 8)
+        yield (crc ^ np.uint32(0xFFFFFFFF)) % np.uint32(BUCKETS), word_of[places]
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -141,15 +177,52 @@ def fit_language_model(texts: list[str], labels: list[str], seed: int = 0) -> La
 def sample_and_fit(docs: DataFrame, usable: Column, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", rows: int = TRAINING_ROWS) -> LanguageModel | None:
     """A model of at most ``rows`` labelled rows among those that are ``usable``."""
     labelled = docs.where(usable & F.col(label_column).isNotNull() & F.col(text_column).isNotNull())
-    labelled = labelled.select(F.xxhash64(id_column).alias("place"), F.col(text_column).alias("text"), F.col(label_column).cast("string").alias("label"))
-    sample = labelled.orderBy("place", "label", "text").limit(rows).collect()
+    labelled = labelled.select(F.xxhash64(id_column).alias("place"), F.col(label_column).cast("string").alias("label"), F.col(text_column).alias("text"))
+    sample = lowest_places(labelled, rows)
     return fit_language_model([row["text"] for row in sample], [row["label"] for row in sample])
 
 
+class _Pieces:
+    """Score vectors of the pieces that a worker has met under a model."""
+
+    def __init__(self, width: int) -> None:
+        self.numbers: dict[str, int] = {}
+        self.most = max(1000, KEPT_BYTES // (8 * (width + 1)))
+        self.vectors = np.empty((0, width + 1))
+
+    def of(self, pieces: list[str], score: Callable[[list[str]], np.ndarray]) -> np.ndarray:
+        """A vector for each of some distinct pieces."""
+        known = np.fromiter((self.numbers.get(piece, -1) for piece in pieces), np.int64, len(pieces))
+        new = np.flatnonzero(known < 0)
+        out = np.empty((len(pieces), self.vectors.shape[1]))
+        out[known >= 0] = self.vectors[known[known >= 0]]
+        if len(new):
+            fresh = [pieces[n] for n in new]
+            out[new] = score(fresh)
+            if len(self.numbers) + len(fresh) > self.most:  # those of this batch stay
+                self.numbers, self.vectors = {}, np.empty((0, out.shape[1]))
+                new, fresh = np.arange(min(len(pieces), self.most // 2)), pieces[: self.most // 2]
+            short = [n for n, piece in zip(new.tolist(), fresh) if len(piece) <= LONGEST_KEPT]
+            self.numbers.update((pieces[n], len(self.vectors) + k) for k, n in enumerate(short))
+            self.vectors = np.concatenate([self.vectors, out[short]])
+        return out
+
+
 @lru_cache(maxsize=1)
-def _word_table(model_name: str, width: int) -> tuple[dict[str, int], np.ndarray]:
-    """Numbers and score vectors of the words that a worker has met under a model, over its tasks."""
-    return {}, np.zeros((KEPT_WORDS, width + 1))
+def _pieces(model_name: str, width: int) -> _Pieces:
+    return _Pieces(width)
+
+
+def text_sums(texts: pa.Array, kept: _Pieces, score: Callable[[list[str]], np.ndarray]) -> np.ndarray:
+    """Scores and n-grams of all words of each text."""
+    plain = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+    cut = pc.split_pattern(plain, " ")
+    counts = pc.list_value_length(cut).to_numpy(zero_copy_only=False)
+    coded = cut.flatten().dictionary_encode()
+    vectors = kept.of(coded.dictionary.to_pylist(), score)
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    starts = np.cumsum(counts) - counts  # each text has a piece, if an empty one
+    return np.stack([np.add.reduceat(column[codes], starts) for column in vectors.T], axis=1)
 
 
 def languages(docs: DataFrame, model: LanguageModel | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -159,44 +232,17 @@ def languages(docs: DataFrame, model: LanguageModel | None, id_column: str = "do
     name = uuid.uuid4().hex
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = len(model.languages) if model else 0
-        numbers, vectors = _word_table(name, width)
-        work = model.word_scores() if model else None
-
-        def number(word: str) -> int:
-            at = numbers.get(word)
-            if at is None:
-                at = numbers[word] = len(numbers)
-                vectors[at] = work(word)
-            return at
-
-        def total(text: str) -> np.ndarray:
-            """Scores and n-grams of all words of a text."""
-            out, words = np.zeros(width + 1), text.split()
-            for start in range(0, len(words), SUMMED):  # fewer words at a time than are kept
-                part = words[start : start + SUMMED]
-                known = list(map(numbers.get, part))
-                if None in known:
-                    if len(numbers) + len(part) > KEPT_WORDS:
-                        numbers.clear()
-                    known = list(map(number, part))
-                out += vectors[known].sum(axis=0)
-            return out
-
+        kept = _pieces(name, len(model.languages)) if model else None
         for batch in batches:
-            names, scores, accepted = [], [], []
-            for value in batch.column(1):
-                sums = total(value.as_py() or "") if model else np.zeros(1)
-                if not sums[-1]:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                    accepted.append(False)
-                    continue
-                sure = _softmax((sums[:width] / sums[-1] + model.bias) / model.temperature)
-                best = int(sure.argmax())
-                names.append(model.languages[best])
-                scores.append(float(sure[best]))
-                accepted.append(bool(sure[best] >= model.threshold))
+            names, scores, accepted = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
+            if model and batch.num_rows:
+                sums = text_sums(batch.column(1), kept, model.piece_scores)
+                some = np.flatnonzero(sums[:, -1])
+                sure = _softmax((sums[some, :-1] / sums[some, -1:] + model.bias) / model.temperature)
+                best = sure.argmax(axis=1)
+                names[some] = np.array(model.languages, object)[best]
+                scores[some] = sure[np.arange(len(some)), best]
+                accepted[some] = scores[some] >= model.threshold
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())],
                 ["id", "lang_pred", "score", "accepted"],

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmetrics.llm.batches import bound_batches, map_batches
+from gridmetrics.llm.batches import bound_batches, gathered, map_batches
 from gridmetrics.llm.bulk_ids import bulk_word_ids
 from gridmetrics.llm.storage import checkpointed
 
@@ -66,7 +66,8 @@ def token_pieces(
 
     kind = source.schema["id"].dataType.simpleString()
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    return map_batches(source, cut, schema).withColumnRenamed("id", id_column)
+    bound_batches(source)
+    return source.mapInArrow(lambda batches: map(cut, gathered(batches)), schema).withColumnRenamed("id", id_column)
 
 
 def closest_multiset(counts: dict[int, int], room: int) -> dict[int, int]:

@@ -33,11 +33,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridmetrics.llm.batches import bound_batches
+from gridmetrics.llm.batches import bound_batches, gathered
 from gridmetrics.llm.bulk_ids import bulk_ids, ragged
 
-#: Bytes of texts encoded together (a longer text alone); the more, the fewer words are looked up twice.
-ENCODED_BYTES = 12 << 20
 #: Ids of a block, and the level of compression.
 BLOCK_IDS = 65_536
 LEVEL = 3
@@ -110,19 +108,6 @@ def crc_before(crc: int, n_bytes: int) -> int:
     return result
 
 
-def gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Batches put together until they have as many bytes."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.nbytes
-        if size >= least:
-            yield pa.concat_batches(held)
-            held, size = [], 0
-    if held:
-        yield pa.concat_batches(held)
-
-
 class _Part:
     """The blocks of one part, as its ids come in."""
 
@@ -177,7 +162,7 @@ def write_ids(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encoder = None, bulk_ids(path)
-        for batch in gathered(batches, ENCODED_BYTES):
+        for batch in gathered(batches):
             if part is None:
                 ints, longs = pa.int32(), pa.int64()
                 types = [ints, ints, longs, ints, ints, longs, pa.binary(), pa.list_(batch.column(0).type), pa.list_(longs), pa.list_(longs)]
