@@ -61,6 +61,17 @@ def looks_random(value: str) -> bool:
     return any(map(str.islower, value)) and any(map(str.isupper, value)) and any(map(str.isdigit, value)) and len(set(value)) >= 10
 
 
+def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same places as spans in order that do not overlap."""
+    merged: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    return merged
+
+
 def text_parts(text: str, base: list[tuple[int, str, int]]) -> tuple[list[dict], list[dict]]:
     """Weak candidates outside the base spans and access ids, and access ids and endpoints, with their scopes."""
     weak = [(m.start(), m.end()) for m in WEAK.finditer(text) if looks_random(m[0])]
@@ -69,8 +80,14 @@ def text_parts(text: str, base: list[tuple[int, str, int]]) -> tuple[list[dict],
     known = [(start, end) for start, kind, end in base if kind == "access"]
     named = [m.span() for m in IDENTIFIER.finditer(text)]
     others = known + [m.span() for m in ENDPOINT.finditer(text)] + named
-    taken = sorted((start, end) for start, _, end in base) + named
-    weak = [(start, end) for start, end in weak if not any(s < end and start < e for s, e in taken)]
+    taken = merged_spans([(start, end) for start, _, end in base] + named)
+    begins = [start for start, _ in taken]
+
+    def free(start: int, end: int) -> bool:
+        at = bisect_left(begins, end) - 1  # the last that begins before the end
+        return at < 0 or taken[at][1] <= start
+
+    weak = [span for span in weak if free(*span)]
     ends = [m.start() for m in SCOPE_END.finditer(text)]
     part = lambda span: {"scope": bisect_left(ends, span[0]), "start": span[0], "end": span[1]}
     return [part(s) for s in weak], [part(s) for s in others]
