@@ -3,7 +3,8 @@
 Quality rules drop documents, line dedup cuts out repeated passages (documents left without a word go), the
 n-gram Jaccard join keeps the smallest id of each group, secrets are masked, and what is left is packed.
 Stages that change a text bring ``n_chars`` up to date. Rows with a null id stay until they are packed.
-Between stages the documents are a Parquet table in the checkpoint folder.
+Between stages the documents are a Parquet table in the checkpoint folder; ``run`` leaves the last one only, and
+none of the tables that a stage writes for itself.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from gridmetrics.llm.quality import quality_cascade
 from gridmetrics.llm.queries import CLOSING_ID, SEQUENCE_TOKENS
 from gridmetrics.llm.secret_scan import without_secrets
 from gridmetrics.llm.storage import checkpoint_folder
+from gridmetrics.workspace import drop_folder, passing_folders
 
 #: Words of a shingle and similarity in percent from which documents are near duplicates.
 SHINGLE_WORDS, NEAR_PERCENT = 5, 80
@@ -78,6 +80,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with passing_folders(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if number:
+            drop_folder(spark, f"{folder}/{number - 1}")
     return docs

@@ -433,6 +433,8 @@ def test_pipeline_runs(spark):
     used = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"))
     assert used.where("n > 2048").count() == 0 and packed.count() > 0
     assert packed.select("doc_id").distinct().count() <= 200
+    (folder,) = {os.path.dirname(os.path.dirname(file)) for file in packed.inputFiles()}
+    assert os.listdir(folder.removeprefix("file://").removeprefix("file:")) == ["4"]
 
 
 def chained(texts):
