@@ -29,6 +29,14 @@ from gridmetrics.llm.storage import checkpointed
 
 #: Pieces of one length that are ranked together.
 RANKED_TOGETHER = 1000
+#: Texts whose ids are made together where the ids are returned.
+ROWS_WITH_IDS = 400
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def token_pieces(
@@ -66,8 +74,15 @@ def token_pieces(
 
     kind = source.schema["id"].dataType.simpleString()
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Ids take as much room again as the texts, so there are fewer texts at a time where they are returned.
+        portions = _sliced(batches, ROWS_WITH_IDS) if with_ids else gathered(batches)
+        for portion in portions:
+            yield cut(portion)
+            pa.default_memory_pool().release_unused()
+
     bound_batches(source)
-    return source.mapInArrow(lambda batches: map(cut, gathered(batches)), schema).withColumnRenamed("id", id_column)
+    return source.mapInArrow(run, schema).withColumnRenamed("id", id_column)
 
 
 def closest_multiset(counts: dict[int, int], room: int) -> dict[int, int]:
