@@ -1,10 +1,7 @@
-"""Deletion of repeated passages: runs of words, and runs of whole lines found by prefix doubling over line ids.
+"""Deletion of repeated passages, in lines or across them, and of repeated runs of whole lines.
 
-``without_repeated_passages`` takes words as units, so it finds what repeats inside longer lines too, and
-cuts it out of them. There the run is a fixed number of words: its prefixes of half the length are
-named in place by hashes, and doubled once, two that overlap covering the run. Of the half prefixes in a
-run the one of the smallest hash is its anchor; equal runs have equal anchors, so only runs whose anchor
-stands in two places or more are written out. As below, the first place of each run stays.
+``without_repeated_passages`` finds what repeats inside longer lines too, and cuts it out of them, by the
+suffix array over rewrapped lines of ``repeated_runs``. The first place of each run stays.
 
 ``without_repeated_lines`` deletes whole lines only; the rest of this text is about it.
 
@@ -43,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from gridmetrics.llm.batches import bound_batches, map_batches
-from gridmetrics.llm.jaccard_join import mixed
+from gridmetrics.llm.repeated_runs import repeated_runs
 from gridmetrics.llm.storage import checkpointed
 
 #: Words that a run has at least.
@@ -52,10 +49,6 @@ RUN_WORDS = 50
 _WORD = re.compile(r"[^\x20\x09-\x0D]")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
-#: A fixed odd multiplier, and its inverse modulo 2 ** 64.
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
 
 def worded_lines(text: str) -> list[int]:
     """Numbers of the lines that have a word."""
@@ -180,83 +173,20 @@ def _shortened(
 
     @pandas_udf("string")
     def shorten(texts: pd.Series, lists: pd.Series) -> pd.Series:
-        return pd.Series([cut(t, [(r["start"], r["lines"]) for r in runs]) for t, runs in zip(texts, lists, strict=True)])
+        return pd.Series([None if t is None else cut(t, [tuple(r.values()) for r in runs]) for t, runs in zip(texts, lists, strict=True)])
 
     def worded(column: str) -> Column:
         return F.size(F.filter(F.split(F.coalesce(F.col(column), F.lit("")), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))).cast("long")
 
     bound_batches(docs)
-    changed = joined.where("_line_change = 'some'").withColumn("_line_text", shorten(text, F.col("_line_runs")))
-    other = joined.where("_line_change <> 'some'").withColumn("_line_text", F.when(F.col("_line_change") == "all", F.lit("")).otherwise(text))
-    result = other.unionByName(changed)
+    change = F.col("_line_change")
+    cut_text = shorten(F.when(change == "some", text), F.when(change == "some", F.col("_line_runs")))  # others go as nulls
+    result = joined.withColumn("_line_cut", cut_text)
+    result = result.withColumn("_line_text", F.when(change == "some", F.col("_line_cut")).when(change == "all", F.lit("")).otherwise(text))
     extra = [] if counts is None else [worded(text_column).alias(counts[0]), (worded(text_column) - worded("_line_text")).alias(counts[1])]
     return result.select(*(F.col("_line_text").alias(c) if c == text_column else F.col(c) for c in own), *extra)
 
 
-def prefix_ids(words: list[bytes], size: int) -> np.ndarray:
-    """Hashes of the ``size`` words from each place that has so many."""
-    places = max(0, len(words) - size + 1)
-    values = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    powers, inverses = (np.cumprod(np.r_[np.uint64(1), np.full(max(0, len(words) - 1), base, np.uint64)]) for base in (_BASE, _INVERSE))
-    sums = np.r_[np.uint64(0), np.cumsum(values * powers[: len(words)], dtype=np.uint64)]
-    return mixed((sums[size:] - sums[:places]) * inverses[:places]) if places else np.empty(0, np.uint64)
-
-
-def anchors(prefixes: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Smallest of each ``within`` prefixes in turn: its hash, and the first run and the end of the runs that have it."""
-    if len(prefixes) < within:
-        return np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32)
-    at = np.lib.stride_tricks.sliding_window_view(prefixes, within).argmin(axis=1) + np.arange(len(prefixes) - within + 1)
-    low = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return prefixes[at[low]], low.astype(np.int32), np.r_[low[1:], len(at)].astype(np.int32)
-
-
-def passages(docs: DataFrame, run_words: int = RUN_WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """As ``deletions``, with runs counted in words."""
-    half = (run_words + 1) // 2
-    text = F.col(text_column)
-    source = docs.where(F.col(id_column).isNotNull() & text.isNotNull())
-    source = source.select(F.unhex(F.md5(text)).alias("key"), F.col(id_column).cast("long").alias("id"), text.alias("text"))
-
-    def read(batch: pa.RecordBatch) -> pa.RecordBatch:
-        totals, marks, lows, highs = [], [], [], []
-        for value in batch.column(2):
-            words = value.as_py().encode().split()
-            totals.append(len(words))
-            for column, part in zip((marks, lows, highs), anchors(prefix_ids(words, half), run_words - half + 1), strict=True):
-                column.append(part.view(np.int64) if part.dtype == np.uint64 else part)
-        arrays = [pa.array(x, pa.list_(kind)) for x, kind in ((marks, pa.int64()), (lows, pa.int32()), (highs, pa.int32()))]
-        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(totals, pa.int64()), *arrays], ["key", "id", "words", "mark", "low", "high"])
-
-    documents = checkpointed(map_batches(source, read, "key binary, id long, words long, mark array<long>, low array<int>, high array<int>"))
-    documents = documents.where("words > 0")
-    firsts = documents.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max("words").alias("words"))
-    unique = documents.join(firsts.select("key", F.col("first").alias("id")), ["key", "id"]).dropDuplicates(["key"])
-    marks = checkpointed(unique.select("key", "id", F.explode(F.arrays_zip("mark", "low", "high")).alias("at")).select("key", "id", "at.*"))
-    common = checkpointed(marks.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"))
-    places = marks.join(common, "mark").groupBy("key", "id").agg(F.collect_list(F.struct("low", "high")).alias("places"))
-
-    def write_out(batch: pa.RecordBatch) -> pa.RecordBatch:
-        starts, ones, twos = [], [], []
-        for value, some in zip(batch.column(2), batch.column(3), strict=True):
-            prefixes = prefix_ids(value.as_py().encode().split(), half).view(np.int64)
-            at = np.concatenate([np.arange(r["low"], r["high"]) for r in some.as_py()])
-            starts.append(at.astype(np.int32))
-            ones.append(prefixes[at])
-            twos.append(prefixes[at + run_words - half])
-        arrays = [pa.array(x, pa.list_(kind)) for x, kind in ((starts, pa.int32()), (ones, pa.int64()), (twos, pa.int64()))]
-        return pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], ["key", "id", "start", "one", "two"])
-
-    texts = source.join(places, ["key", "id"]).select("key", "id", "text", "places")
-    written = checkpointed(map_batches(texts, write_out, "key binary, id long, start array<int>, one array<long>, two array<long>"))
-    runs = written.select("key", "id", F.explode(F.arrays_zip("start", "one", "two")).alias("at")).select("key", "id", "at.*")
-    place = F.struct("id", "key", "start")
-    earliest = checkpointed(runs.groupBy("one", "two").agg(F.min(place).alias("earliest"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    later = runs.join(earliest, ["one", "two"]).where(place != F.col("earliest")).select("key", "start", F.lit(run_words).alias("lines"))
-    later = later.groupBy("key").agg(F.collect_list(F.struct("start", "lines")).alias("runs"))
-    return firsts.join(later, "key", "left").where("runs is not null or first < last")
-
-
 def without_words(text: str, runs: list) -> str:
     """``text`` without the words of the runs and without the lines that lose all; empty if no word is left."""
     gone = {n for start, size in runs for n in range(start, start + size)}
@@ -281,5 +211,5 @@ def without_repeated_passages(
 
     ``counts`` names two more columns: lines with a word before, and those of which nothing is left.
     """
-    found = passages(docs, run_words, id_column, text_column)
+    found = repeated_runs(docs, run_words, id_column, text_column)
     return _shortened(docs, found, without_words, run_words, id_column, text_column, counts)
