@@ -93,14 +93,18 @@ class Bands:
     def sketches(self, band: int) -> int:
         """Independent sketches, so that some word with members is equal in nearly every linked pair."""
         words = self.words(band)
-        if words == 1 or words > 200:
+        if words == 1:
             return 1
+        empty = (1 - 1 / words) ** (BAND**band * self.percent / 100)
+        if words > 200:
+            # which words no difference touches is negatively associated, so the product of the means is an upper bound
+            missed = (1 - (1 - 1 / words) ** (words - 1) * (1 - empty)) ** words
+            return ceil(log(MISSED) / log(missed)) if missed > MISSED else 1
         chances = np.zeros(words + 1)  # of so many words touched by as many differences as a linked pair can have
         chances[0] = 1
         touched = np.arange(words + 1)
         for _ in range(words - 1):
             chances = chances * touched / words + np.concatenate([[0], (chances * (words - touched) / words)[:-1]])
-        empty = (1 - 1 / words) ** (BAND**band * self.percent / 100)
         missed = float((chances * empty ** (words - touched)).sum())
         return ceil(log(MISSED) / log(missed))
 
