@@ -38,6 +38,7 @@ from gridmetrics.workspace import new_folder, passing_folders
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
+_LINES = ("one", "size", "depth")
 _LISTS = {"one": pa.int64(), "size": pa.int32(), "depth": pa.int8(), "line": pa.int32(), "lines": pa.int32(), "low": pa.int32(), "runs": pa.int32(), "around": pa.int64()}
 
 
@@ -140,12 +141,16 @@ def _ranks(documents: DataFrame, run_words: int) -> DataFrame:
     return ranks.groupBy("id", "tag").agg(F.collect_list(F.struct("level", "line", "rank")).alias("ranks"))
 
 
-def _places(documents: DataFrame, ranks: DataFrame) -> DataFrame:
-    """The cores that stand in an interval: its two ranks as ``head`` and ``tail``, and ``lines``."""
+def _places(source: DataFrame, ranks: DataFrame, run_words: int) -> DataFrame:
+    """The cores that stand in an interval: its two ranks as ``head`` and ``tail``, and ``lines``.
+
+    Cores are found anew in the texts that have ranks left, which takes less room than to keep all of them.
+    """
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, tags, *columns, known = batch.columns
-        line, lines, low, runs, around = (c.flatten().to_numpy() for c in columns)
+        ids, tags, texts, known = batch.columns
+        columns = wrapped(texts, run_words)[1][3:]
+        line, lines, low, runs, around = (c.values.to_numpy() for c in columns)
         row = np.repeat(np.arange(len(ids)), columns[0].value_lengths().to_numpy())
         level, at, rank = (x.to_numpy() for x in known.flatten().flatten())
         owner = np.repeat(np.arange(len(ids)), known.value_lengths().to_numpy())
@@ -155,21 +160,19 @@ def _places(documents: DataFrame, ranks: DataFrame) -> DataFrame:
 
         codes = code(owner, level, at)
         order = np.argsort(codes)
-        codes, rank = codes[order], rank[order]
+        codes, rank = np.r_[codes[order], np.int64(-1)], np.r_[rank[order], np.int64(0)]
         rounds = np.frexp(lines)[1] - 1
         found, both = np.ones(len(line), bool), []
         for wanted in (code(row, rounds, line), code(row, rounds, line + lines - (1 << rounds.astype(np.int64)))):
-            near = np.minimum(np.searchsorted(codes, wanted), max(0, len(codes) - 1))
-            found &= codes[near] == wanted if len(codes) else False
-            both.append(rank[near] if len(codes) else np.zeros(len(line), np.int64))
-        head, tail = both
-        left = [row, low, runs, lines, head, tail, around]
-        row, low, runs, lines, head, tail, around = (x[found] for x in left)
+            near = np.searchsorted(codes[:-1], wanted)
+            found &= codes[near] == wanted
+            both.append(rank[near])
+        row, low, runs, lines, head, tail, around = (x[found] for x in (row, low, runs, lines, *both, around))
         arrays = [ids.take(pa.array(row)), tags.take(pa.array(row)), *(pa.array(x) for x in (low, runs, lines, head, tail, around))]
         return pa.RecordBatch.from_arrays(arrays, ["id", "tag", "start", "runs", "lines", "head", "tail", "around"])
 
-    cores = documents.select("id", "tag", "line", "lines", "low", "runs", "around").join(ranks, ["id", "tag"])
-    return map_batches(cores, place, "id long, tag long, start int, runs int, lines int, head long, tail long, around long")
+    texts = source.select("id", "tag", "text").join(ranks, ["id", "tag"])
+    return map_batches(texts, place, "id long, tag long, start int, runs int, lines int, head long, tail long, around long")
 
 
 def _written_out(source: DataFrame, spots: DataFrame, run_words: int) -> DataFrame:
@@ -211,17 +214,16 @@ def repeated_runs(docs: DataFrame, run_words: int, id_column: str, text_column:
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
         words, lists = wrapped(batch.column(3), run_words)
-        return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(words, pa.int64()), *lists], ["key", "id", "tag", "words", *_LISTS])
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(words, pa.int64()), *lists[:3]], ["key", "id", "tag", "words", *_LINES])
 
-    kinds = ", ".join(f"{name} array<{({8: 'byte', 32: 'int', 64: 'long'})[kind.bit_width]}>" for name, kind in _LISTS.items())
     path = new_folder(spark, "runs")
     with passing_folders(spark):
-        read_texts = checkpointed(map_batches(source, read, f"key binary, id long, tag long, words long, {kinds}")).where("words > 0")
+        read_texts = checkpointed(map_batches(source, read, "key binary, id long, tag long, words long, one array<long>, size array<int>, depth array<byte>")).where("words > 0")
         firsts = checkpointed(read_texts.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max("words").alias("words"), F.min("tag").alias("tag")))
-        # texts too short for a run have no cores; of copies the first one is worked on, once
-        once = read_texts.where("size(line) > 0").join(firsts.select("key", F.col("first").alias("id")), ["key", "id"])
+        # texts too short for a run have no lines to rank; of copies the first one is worked on, once
+        once = read_texts.where(F.col("words") >= run_words).join(firsts.select("key", F.col("first").alias("id")), ["key", "id"])
         documents = checkpointed(once.dropDuplicates(["key", "id"]).drop("key", "words"))
-        places = checkpointed(_places(documents, _ranks(documents, run_words)))
+        places = checkpointed(_places(source, _ranks(documents, run_words), run_words))
 
         core, place = ["lines", "head", "tail"], F.struct("id", "tag", "start")
         classes = places.groupBy(*core, "around").agg(F.min(place).alias("earliest"), F.max("runs").alias("runs"), F.count("*").alias("n"))
