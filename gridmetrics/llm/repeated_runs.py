@@ -26,13 +26,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmetrics.llm.batches import bound_batches, map_batches
 from gridmetrics.llm.jaccard_join import mixed
 from gridmetrics.llm.storage import checkpointed
-from gridmetrics.workspace import new_folder, passing_folders
+from gridmetrics.workspace import drop_folder, new_folder, passing_folders
 
 #: A fixed odd multiplier, and its inverse modulo 2 ** 64.
 _BASE = 0x9E3779B97F4A7C15
@@ -126,10 +126,15 @@ def _ranks(documents: DataFrame, run_words: int) -> DataFrame:
     level, number = _ranked(lines.where("depth >= 0")), 0
     levels = [level.withColumn("level", F.lit(0))] if run_words == 1 else []
     while 2 << number <= max(run_words, 2):
-        second = level.select("id", "tag", (F.col("line") - (1 << number)).alias("line"), F.col("rank").alias("two"))
+        # the other half of a prefix is the row so many lines on in the same text: one shuffle, written once, read twice
+        half = Window.partitionBy("id", "tag").orderBy("line").rangeBetween(1 << number, 1 << number)
         number += 1
-        level = level.where(F.col("depth") >= number).withColumnRenamed("rank", "one")
-        level = _ranked(level.join(second, ["id", "tag", "line"]))
+        path = new_folder(level.sparkSession, "pairs")
+        pairs = level.withColumn("two", F.first("rank").over(half)).where((F.col("depth") >= number) & F.col("two").isNotNull())
+        pairs.withColumnRenamed("rank", "one").write.mode("overwrite").parquet(path)
+        pairs = level.sparkSession.read.schema("id long, tag long, line int, depth byte, one long, two long").parquet(path)
+        level = _ranked(pairs)
+        drop_folder(level.sparkSession, path)
         if level.isEmpty():
             break
         levels.append(level.withColumn("level", F.lit(number)))
