@@ -7,13 +7,16 @@ words, their sketches have a word that is equal in both (pigeonhole), and docume
 words. A word is far too long to be written out; it is held as the XOR of the codes of the bits set.
 A set near the upper edge of its band also has a sketch for the next band.
 
-A word without any member says nothing and is left out. A linked pair that agrees only in such words
-would be missed; for each band the chance of that is computed for the worst pair, and as many sketches
-by independent hashes are taken as bring it below ``MISSED``, which is small beside that of two shingles
-with one hash. Long texts need one sketch.
+A word without any member says nothing, and one with a single member or two says little: one common
+shingle would join all documents that have it. Words with fewer than some members are left out. A linked
+pair that agrees only in such words would be missed; for each band the chance of that is computed for the
+worst pair, and as many sketches by independent hashes are taken as bring it below ``MISSED``, which is
+small beside that of two shingles with one hash. Long texts need one sketch.
 
 Equal sets are one class before sketches are joined. What is joined gives families: components of
-"shares a word". Inside families, in blocks and without writing pairs, short sketches written out in
+"shares a word". Large families are split by further sketches of fewer and so longer words, which unrelated
+sets hardly share; as many are taken as keep the same bound. Inside families, in blocks and without writing
+pairs, short sketches written out in
 bits are compared: what lies farther apart than linked sets can is no link. That splits families that
 only a common passage held together. What is left is verified by the sets themselves in the same way.
 Each task keeps only what connects documents not yet connected there.
@@ -28,7 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import ceil, floor, log
+from math import ceil, floor, inf, log
 
 import numpy as np
 import pandas as pd
@@ -45,6 +48,10 @@ from gridmetrics.llm.storage import checkpointed
 BAND = 1.5
 #: Largest chance that sketches miss a linked pair.
 MISSED = 1e-12
+#: Members that a sketch word is asked for at most.
+MOST_MEMBERS = 4
+#: Differences to a word in the sketches that split large families, one after another.
+SPREADS = (2, 3)
 #: Documents of a family that are compared and that are verified together.
 SKETCH_BLOCK, BLOCK = 1024, 256
 
@@ -74,12 +81,15 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 class Bands:
-    """Size bands and the number of sketch words that a similarity of ``percent`` / 100 needs in each."""
+    """Size bands, and the sketch words that a similarity of ``percent`` / 100 needs in each.
 
-    def __init__(self, percent: int) -> None:
+    With ``spread``, so many of the differences that linked sets can have fall on one word.
+    """
+
+    def __init__(self, percent: int, spread: int = 1) -> None:
         if not 0 < percent <= 100:
             raise ValueError("percent must be from 1 to 100")
-        self.percent = percent
+        self.percent, self.spread = percent, spread
 
     def of(self, size: int) -> int:
         return floor(log(size) / log(BAND) + 1e-9)
@@ -89,24 +99,48 @@ class Bands:
         largest = int(BAND ** (band + 1)) + 1
         return 2 * largest * (100 - self.percent) // (100 + self.percent) + 1
 
-    @lru_cache(maxsize=None)  # noqa: B019
-    def sketches(self, band: int) -> int:
-        """Independent sketches, so that some word with members is equal in nearly every linked pair."""
+    def cut(self, band: int) -> int:
+        """Words of a sketch."""
         words = self.words(band)
-        if words == 1:
-            return 1
-        empty = (1 - 1 / words) ** (BAND**band * self.percent / 100)
+        return words if self.spread == 1 else min(words, max(2, ceil((words - 1) / self.spread)))
+
+    def _needed(self, band: int, least: int) -> tuple[float, float]:
+        """Sketches needed if words have ``least`` members, and the share of words that have fewer in what a linked pair shares."""
+        words, differences = self.cut(band), self.words(band) - 1
+        shared = BAND**band * self.percent / 100
+        few, part = 0.0, (1 - 1 / words) ** shared
+        for members in range(least):
+            few += part
+            part *= max(shared - members, 0) / (members + 1) / (words - 1)
+        if shared < least > 1 or few >= 1:
+            return inf, 1.0
         if words > 200:
             # which words no difference touches is negatively associated, so the product of the means is an upper bound
-            missed = (1 - (1 - 1 / words) ** (words - 1) * (1 - empty)) ** words
-            return ceil(log(MISSED) / log(missed)) if missed > MISSED else 1
+            missed = (1 - (1 - 1 / words) ** differences * (1 - few)) ** words
+            return (ceil(log(MISSED) / log(missed)) if missed > MISSED else 1), few
         chances = np.zeros(words + 1)  # of so many words touched by as many differences as a linked pair can have
         chances[0] = 1
         touched = np.arange(words + 1)
-        for _ in range(words - 1):
+        for _ in range(differences):
             chances = chances * touched / words + np.concatenate([[0], (chances * (words - touched) / words)[:-1]])
-        missed = float((chances * empty ** (words - touched)).sum())
-        return ceil(log(MISSED) / log(missed))
+        missed = float((chances * few ** (words - touched)).sum())
+        return ceil(log(MISSED) / log(missed)), few
+
+    @lru_cache(maxsize=None)  # noqa: B019
+    def plan(self, band: int) -> tuple[int, int]:
+        """Members that a word has at least, as many as ask for at most twice the keys, and independent sketches, so that
+        some such word is equal in nearly every linked pair."""
+        if self.cut(band) == 1:
+            return 1, 1
+        plain, _ = self._needed(band, 1)
+        for least in range(MOST_MEMBERS, 1, -1):
+            sketches, few = self._needed(band, least)
+            if sketches == plain or self.cut(band) <= 200 and sketches * (1 - few) <= 2 * plain:
+                return least, sketches
+        return 1, plain
+
+    def sketches(self, band: int) -> int:
+        return self.plan(band)[1]
 
     def keys(self, members: np.ndarray) -> np.ndarray:
         """Hashes of band, sketch, place and word of one set."""
@@ -116,14 +150,15 @@ class Bands:
         first, last = self.of(size), self.of(max(size, size * 100 // self.percent + 1))
         keys = []
         for band in range(first, last + 1):
-            words = self.words(band)
-            for number in range(self.sketches(band)):
-                codes = mixed(members + np.uint64((number + 1) * _STEP % 2**64))
-                place = (codes % np.uint64(words)).astype(np.int64)
-                sketch, counts = np.zeros(words, np.uint64), np.bincount(place, minlength=words)
-                np.bitwise_xor.at(sketch, place, mixed(codes))
-                seeds = mixed((np.arange(words, dtype=np.uint64) + np.uint64((band * 64 + number + 1) << 34)) * np.uint64(_STEP))
-                keys.append(mixed(seeds ^ sketch)[counts > 0])
+            words = self.cut(band)
+            least, sketches = self.plan(band)
+            numbers = np.arange(1, sketches + 1, dtype=np.uint64)
+            codes = mixed(members + (numbers[:, None] + np.uint64(4096 * (self.spread - 1))) * np.uint64(_STEP))
+            place = (codes % np.uint64(words)).astype(np.int64) + np.arange(0, sketches * words, words)[:, None]
+            sketch, counts = np.zeros(sketches * words, np.uint64), np.bincount(place.ravel(), minlength=sketches * words)
+            np.bitwise_xor.at(sketch, place.ravel(), mixed(codes).ravel())
+            seeds = mixed((np.arange(words, dtype=np.uint64) + ((numbers[:, None] + np.uint64(band * 4096)) << np.uint64(34))) * np.uint64(_STEP))
+            keys.append(mixed(seeds.ravel() ^ sketch)[counts >= least])
         return np.concatenate(keys).view(np.int64)
 
 
@@ -209,11 +244,9 @@ def jaccard_groups(docs: DataFrame, words: int, percent: int, id_column: str = "
     rows = checkpointed(map_batches(source, sketch, schema))
     classes = rows.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("rep"))
     firsts = rows.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-    keys = firsts.select("id", F.explode("keys").alias("key"))
-    # A table, so that both sides of the join are plain exchanges, whose hot keys adaptive execution can split.
-    least = checkpointed(keys.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b < last").drop("last"))
-    shared = keys.join(least, "key").select(F.col("id").alias("a"), "b").where("a <> b").distinct()
-    families = checkpointed(components(shared))
+    families = checkpointed(components(_sharing(firsts.select("id", F.explode("keys").alias("key")))))
+    for spread in SPREADS:
+        families = _split(source, families, words, Bands(percent, spread))
     families = checkpointed(components(_near(rows, families, percent)))
     links = _verified(source, families, words, percent)
     groups = components(links).withColumnRenamed("id", "rep")
@@ -226,6 +259,31 @@ def jaccard_groups(docs: DataFrame, words: int, percent: int, id_column: str = "
     )
 
 
+def _sharing(keys: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``) that connect the ids with an equal key."""
+    # A table, so that both sides of the join are plain exchanges, whose hot keys adaptive execution can split.
+    least = checkpointed(keys.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b < last").drop("last"))
+    return keys.join(least, "key").select(F.col("id").alias("a"), "b").where("a <> b").distinct()
+
+
+def _split(source: DataFrame, families: DataFrame, words: int, bands: Bands) -> DataFrame:
+    """``families``, of which those of more than a block are split by what shares a word of further sketches."""
+    large = families.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > SKETCH_BLOCK).select("component")
+    large = checkpointed(large)
+    if large.isEmpty():
+        return families
+
+    def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = [bands.keys(shingle_set(value.as_py(), words)) for value in batch.column(2)]
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(keys, pa.list_(pa.int64()))], ["id", "component", "keys"])
+
+    texts = source.join(families.join(large, "component"), "id").dropDuplicates(["id"]).select("id", "component", "text")
+    keys = checkpointed(map_batches(texts, sketch, "id long, component long, keys array<long>"))
+    keys = keys.select("id", "component", F.explode("keys").alias("key")).select("id", F.xxhash64("component", "key").alias("key"))
+    small = families.join(large, "component", "left_anti").select("id", "component")
+    return checkpointed(small.unionByName(components(_sharing(keys))))
+
+
 def _blocks(families: DataFrame, block: int) -> DataFrame:
     """``id``, ``family``, ``block`` and ``pairs``, the pairs of blocks that the document is compared in."""
     members = families.select("id", F.col("component").alias("family"))
