@@ -43,10 +43,13 @@ SPACE = "▁"
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 #: Arcs that a worker keeps before it starts anew with a batch.
-KEPT_ARCS = 3_000_000
+KEPT_ARCS = 2_000_000
+
+#: Characters of units whose arcs are found together.
+SIGNS_TOGETHER = 150_000
 
 #: Rows that walk together.
-ROWS_TOGETHER = 1000
+ROWS_TOGETHER = 300
 
 #: Weight of a byte.
 BYTE_WEIGHT = 1e-9
@@ -68,8 +71,11 @@ class PieceLattice:
     """Pieces of a model file, and the arcs of the units met so far.
 
     The arcs of a node lie together from ``first`` on; ``upto`` adds up their shares, to 1 at the last.
+    The arrays have room for more arcs than there are, so that new ones are put in without a copy of the others.
     """
 
+    _KINDS = {"owner": np.int32, "upto": np.float64, "share": np.float64, "log_share": np.float64, "log_rest": np.float64, "piece": np.int32, "following": np.int32}
+
     def __init__(self, path: str, sharpness: float) -> None:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = self.model.get_piece_size()
@@ -94,13 +100,33 @@ class PieceLattice:
         #: Edges of the trie over pieces: state and character to the next state, and the piece that ends at a state.
         self.edges, self.next = np.array(sorted(edges), np.int64).T.copy()
         self.number = np.array(self.number)
+        self.first = np.zeros(1, np.int32)
+        for name, kind in self._KINDS.items():
+            setattr(self, name, np.empty(0, kind))
         self.forget()
 
     def forget(self) -> None:
         self.units: dict[str, int] = {}
-        self.first, self.owner = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.upto, self.share = np.empty(0), np.empty(0)
-        self.piece, self.following = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.arcs = self.nodes = 0
+
+    def _room(self, name: str, size: int) -> np.ndarray:
+        """The array of this name, made a quarter larger than needed if it is too small."""
+        held = getattr(self, name)
+        if size > len(held):
+            held = np.concatenate([held, np.zeros(size + size // 4 - len(held), held.dtype)])
+            setattr(self, name, held)
+        return held
+
+    def _add(self, owner: np.ndarray, upto: np.ndarray, share: np.ndarray, piece: np.ndarray, following: np.ndarray) -> None:
+        """Put in the arcs of new nodes, which come after all others."""
+        start, end = self.arcs, self.arcs + len(owner)
+        with np.errstate(divide="ignore"):
+            parts = {"owner": owner, "upto": upto, "share": share, "log_share": np.log(share), "log_rest": np.log1p(-share), "piece": piece, "following": following}
+        for name, part in parts.items():
+            self._room(name, end)[start:end] = part
+        last = int(owner[-1]) + 1
+        self._room("first", last + 1)[self.nodes : last + 1] = start + np.searchsorted(owner, np.arange(self.nodes, last + 1))
+        self.arcs, self.nodes = end, last
 
     def roots(self, texts: list[list[str]]) -> list[np.ndarray]:
         """The first nodes of the units of each text; units not met so far are added."""
@@ -108,20 +134,16 @@ class PieceLattice:
         by_length: dict[int, list[str]] = {}
         for unit in sorted(new):
             by_length.setdefault(len(unit), []).append(unit)
-        parts = [part for same in by_length.values() for part in self._lattice(same)]
-        if parts:
-            merged = [np.concatenate(x) for x in zip(*parts, strict=True)]
-            for name, part in zip(("owner", "upto", "share", "piece", "following"), merged, strict=True):
-                setattr(self, name, np.concatenate([getattr(self, name), part]))
-            self.first = np.searchsorted(self.owner, np.arange(self._nodes() + 1))
+        for size, same in by_length.items():
+            count = max(1, SIGNS_TOGETHER // size)
+            for at in range(0, len(same), count):
+                for part in self._lattice(same[at : at + count]):
+                    self._add(*part)
         return [np.fromiter(map(self.units.__getitem__, units), np.int64, len(units)) for units in texts]
 
-    def _nodes(self) -> int:
-        return int(self.owner[-1]) + 1 if len(self.owner) else 0
-
     def _lattice(self, units: list[str]) -> Iterator[tuple[np.ndarray, ...]]:
         """Owner, added and own share, piece and next node of the arcs of units of one length."""
-        base = max(self.units_end, self._nodes()) if self.units else 0
+        base = self.nodes
         size, count = len(units[0]), len(units)
         signs = np.array(units, f"<U{size}").view(np.uint32).reshape(count, size).astype(np.int64)
         found: list[tuple[np.ndarray, ...]] = []
@@ -161,9 +183,11 @@ class PieceLattice:
         logs = np.log(self.weights[pieces])
         below = np.full((count, width), -np.inf)  # log weight of all ways from a node to the end
         below[:, size] = 0.0
-        for start in [*range(width - 1, size, -1), *range(size - 1, -1, -1)]:
-            at = np.flatnonzero(starts == start)
-            if start > size or not len(at):
+        by_start = np.argsort(starts, kind="stable")
+        bounds = np.searchsorted(starts[by_start], np.arange(size + 1))
+        for start in range(size - 1, -1, -1):
+            at = by_start[bounds[start] : bounds[start + 1]]
+            if not len(at):
                 continue
             ways = logs[at] + self._after(below, rows[at], ends[at], size, starts, rows, ends, logs)
             most = np.full(count, -np.inf)
@@ -185,7 +209,6 @@ class PieceLattice:
         added[begin + sizes - 1] = 1.0
         following = np.where(ends < 0, -1, base + nodes[rows] + ends)
         self.units.update(zip(units, (base + nodes[:-1]).tolist(), strict=True))
-        self.units_end = base + int(nodes[-1])
         yield owner, added, shares, pieces, following
 
     def _after(self, below, rows, ends, size, starts, all_rows, all_ends, logs) -> np.ndarray:  # noqa: ANN001
@@ -231,8 +254,7 @@ class _Arcs:
     def __init__(self, lattice: PieceLattice) -> None:
         self.first, self.owner, self.upto, self.share = lattice.first, lattice.owner, lattice.upto, lattice.share
         self.piece, self.following = lattice.piece, lattice.following
-        with np.errstate(divide="ignore"):
-            self.log_share, self.log_rest = np.log(self.share), np.log1p(-self.share)
+        self.log_share, self.log_rest = lattice.log_share, lattice.log_rest
 
     def walk(self, nodes: np.ndarray, roots: np.ndarray, places: np.ndarray, seeds: np.ndarray, draw: int) -> tuple[np.ndarray, np.ndarray]:
         """Arcs from each node to the end of its unit, one walk after the other, and the length of each walk."""
@@ -251,7 +273,7 @@ class _Arcs:
             on = nodes >= 0
             going, nodes = going[on], nodes[on]
         begins = np.cumsum(lengths) - lengths
-        walked = np.empty(int(lengths.sum()), np.int64)
+        walked = np.empty(int(lengths.sum()), np.int32)
         for number, (which, taken) in enumerate(steps):
             walked[begins[which] + number] = taken
         return walked, lengths
@@ -317,7 +339,7 @@ def sampled(texts: list[str], seeds: list[int], lattice: PieceLattice, draws: in
     """For each text its segmentations in the order drawn: ids, log probability, perturbed value, log inclusion."""
     if not 0 < draws <= MOST_DRAWS:
         raise ValueError(f"draws must be from 1 to {MOST_DRAWS}")
-    if len(lattice.upto) > KEPT_ARCS:
+    if lattice.arcs > KEPT_ARCS:
         lattice.forget()
     units = [_UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
     places = [np.cumsum([0, *map(len, some)])[:-1] * 4 for some in units]
